@@ -249,18 +249,25 @@ def export_nodes(vertices: DataFrame) -> DataFrame:
 
 
 def export_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``source, target, value`` of edges whose two ends are exported nodes."""
+    """``source, target, value`` of edges whose two ends are exported nodes.
+
+    One service can be the target of a third of all edges.  Its membership is
+    decided on the distinct targets, a small table, so the edges are not
+    shuffled by a hot key.
+    """
     ids = nodes.select("id").distinct()
-    return (
-        edges.filter(_named("src") & _named("dst"))
-        .select(
-            F.trim("src").alias("source"),
-            F.trim("dst").alias("target"),
-            F.greatest(F.coalesce("weight", F.lit(1)), F.lit(1)).alias("value"),
-        )
-        .join(ids.withColumnRenamed("id", "source"), "source", "left_semi")
+    links = edges.filter(_named("src") & _named("dst")).select(
+        F.trim("src").alias("source"),
+        F.trim("dst").alias("target"),
+        F.greatest(F.coalesce("weight", F.lit(1)), F.lit(1)).alias("value"),
+    )
+    targets = (
+        links.select("target").distinct()
         .join(ids.withColumnRenamed("id", "target"), "target", "left_semi")
     )
+    return links.join(targets, "target", "left_semi").join(
+        ids.withColumnRenamed("id", "source"), "source", "left_semi"
+    )
 
 
 def skipped_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:

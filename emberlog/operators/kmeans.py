@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from emberlog.functions import fixed
 from emberlog.operators.centers import CenterModel
 from emberlog.operators.parse import complete_rows
-from emberlog.sources.scratch import staged
+from emberlog.sources.scratch import spread, staged
 
 
 def assembler(names: Sequence[str], handle_invalid: str = "skip") -> VectorAssembler:
@@ -48,7 +48,8 @@ def fit_kmeans(
     rows = complete_rows(features, names)
     assemble = assembler(names)
     scale = scaler().fit(assemble.transform(rows.select(*names)))
-    distinct = staged(rows.groupBy(*names).agg(F.count("*").cast("double").alias("weight")), "distinct-features")
+    weighted = rows.groupBy(*names).agg(F.count("*").cast("double").alias("weight"))
+    distinct = spread(staged(weighted, "distinct-features"))
     vectors = scale.transform(assemble.transform(distinct)).select("features", "weight")
     clusters = KMeans(
         k=k, seed=seed, featuresCol="features", predictionCol="cluster", weightCol="weight"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import columns as C
+from emberlog.sources.scratch import staged
 
 
 def page(
@@ -85,22 +86,30 @@ def alert_order() -> list[Column]:
     ]
 
 
+_LINE_KEY = ["file_id", "line_number"]
+
+
 def annotated_lines(lines: DataFrame, anomalies: DataFrame, anomalies_only: bool = False) -> DataFrame:
-    """Lines with their anomaly score and severity; blank lines keep their number but are not shown."""
-    marks = anomalies.select("file_id", "line_number", "anomaly_score")
-    shown = lines.select("file_id", "line_number", F.trim("value").alias("content")).filter(
-        F.col("content") != ""
-    )
-    joined = shown.join(marks, ["file_id", "line_number"], "inner" if anomalies_only else "left")
+    """Lines with their anomaly score and severity; blank lines keep their number but are not shown.
+
+    The key is unique on both sides, so no join key is hot.
+    """
+    marks = anomalies.select(*_LINE_KEY, "anomaly_score")
+    return _marked(_shown(lines).join(marks, _LINE_KEY, "inner" if anomalies_only else "left"))
+
+
+def _shown(lines: DataFrame) -> DataFrame:
+    return lines.select(*_LINE_KEY, F.trim("value").alias("content")).filter(F.col("content") != "")
+
+
+def _marked(joined: DataFrame) -> DataFrame:
     hit = F.col("anomaly_score").isNotNull()
-    return joined.select(
-        "file_id",
-        "line_number",
-        "content",
-        hit.alias("is_anomaly"),
-        F.coalesce("anomaly_score", F.lit(0.0)).alias("anomaly_score"),
-        F.when(hit, C.severity()).otherwise("normal").alias("severity"),
-    )
+    mark = {
+        "is_anomaly": hit,
+        "anomaly_score": F.coalesce("anomaly_score", F.lit(0.0)),
+        "severity": F.when(hit, C.severity()).otherwise("normal"),
+    }
+    return joined.withColumns(mark)
 
 
 def log_view(
@@ -110,9 +119,18 @@ def log_view(
     per_page: int = 100,
     anomalies_only: bool = False,
 ) -> DataFrame:
-    return page(
-        annotated_lines(lines, anomalies, anomalies_only), ["file_id", "line_number"], number, per_page
+    """One page of annotated lines.
+
+    Without the anomaly filter the page is cut first: its few rows are written
+    once and broadcast, and neither the lines nor the anomalies are shuffled.
+    """
+    if anomalies_only:
+        return page(annotated_lines(lines, anomalies, True), _LINE_KEY, number, per_page)
+    rows = staged(page(_shown(lines), _LINE_KEY, number, per_page), "page")
+    marks = anomalies.select(*_LINE_KEY, "anomaly_score").join(
+        F.broadcast(rows.select(*_LINE_KEY)), _LINE_KEY, "left_semi"  # at most per_page rows
     )
+    return _marked(rows.join(F.broadcast(marks), _LINE_KEY, "left"))
 
 
 def recent_anomalies(anomalies: DataFrame, n: int = 100) -> DataFrame:

@@ -40,7 +40,7 @@ class Analysis:
     rejects: DataFrame      # lines a model cannot score
     analysis_type: str
 
-    def write(self, root: str) -> None:
+    def write(self, root: str, only: tuple[str, ...] = tables.ALL) -> None:
         """Write the result tables, replacing only the partitions of these files."""
         labelled = self.statistics.withColumns(
             {
@@ -49,10 +49,14 @@ class Analysis:
                 "analysis_completed": F.current_timestamp(),
             }
         )
-        tables.write_table(self.anomalies, root, tables.ANOMALIES)
-        tables.write_table(self.alerts, root, tables.ALERTS)
-        tables.write_table(labelled, root, tables.STATISTICS)
-        tables.write_table(self.rejects, root, tables.REJECTS)
+        results = {
+            tables.ANOMALIES: self.anomalies,
+            tables.ALERTS: self.alerts,
+            tables.STATISTICS: labelled,
+            tables.REJECTS: self.rejects,
+        }
+        for name in only:
+            tables.write_table(results[name], root, name)
 
 
 def _analysis(

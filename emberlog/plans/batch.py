@@ -9,7 +9,7 @@ from emberlog.functions.params import AnalysisOptions
 from emberlog.operators.centers import CenterModel
 from emberlog.operators.statistics import file_totals
 from emberlog.plans.analyze import Analysis, analyze_trained
-from emberlog.sources.textlogs import LOG_FILE_GLOB, numbered_lines
+from emberlog.sources.textlogs import file_id, log_files, numbered_lines
 
 
 def analyze_directory(
@@ -17,28 +17,25 @@ def analyze_directory(
     directory: str,
     model: CenterModel | None = None,
     options: AnalysisOptions = AnalysisOptions(),
+    nested: bool = False,
 ) -> tuple[Analysis, DataFrame]:
     """Analyse every ``.log`` and ``.txt`` file; return the analysis and the per-file results."""
-    lines = numbered_lines(spark, directory)
+    lines = numbered_lines(spark, directory, nested)
     analysis = analyze_trained(lines.select("file_id", "line_number", "value"), model, options, stage=True)
-    return analysis, per_file_results(spark, directory, analysis.statistics)
+    return analysis, per_file_results(spark, directory, analysis.statistics, nested)
 
 
-def per_file_results(spark: SparkSession, directory: str, statistics: DataFrame) -> DataFrame:
+def per_file_results(
+    spark: SparkSession, directory: str, statistics: DataFrame, nested: bool = False
+) -> DataFrame:
     """File list with size, success and counts; a file without valid lines fails."""
     files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", LOG_FILE_GLOB)
-        .option("recursiveFileLookup", "true")
+        log_files(spark.read.format("binaryFile"), nested)
         .load(directory)
         .select(
-            F.concat_ws(
-                "_",
-                F.element_at(F.split("path", "/"), -1),
-                F.unix_seconds("modificationTime").cast("string"),
-            ).alias("file_id"),
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.col("length").alias("file_size"),
+            file_id(nested).alias("file_id"),
+            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_size").alias("file_size"),
         )
     )
     ok = F.coalesce(F.col("total_logs"), F.lit(0)) > 0

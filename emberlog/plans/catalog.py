@@ -124,11 +124,11 @@ def figured_assignment(spark: SparkSession, sf: str) -> tuple[DataFrame, centers
     return model.assign(rows), model
 
 
-def result_root(spark: SparkSession, sf: str) -> str:
-    """Result tables of the rule analysis in a fresh folder."""
+def results(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
+    """Result tables of the rule analysis, written to a fresh folder and read back."""
     root = scratch_dir(spark, "results")
-    analyze.analyze_rules(log_lines(spark, sf), stage=True).write(root)
-    return root
+    analyze.analyze_rules(log_lines(spark, sf), stage=len(names) > 1).write(root, names)
+    return [tables.read_table(spark, root, name) for name in names]
 
 
 def log_directory(spark: SparkSession, sf: str) -> str:
@@ -471,43 +471,43 @@ def graph_json(spark, sf):
 
 @query
 def anomaly_page(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ANOMALIES)
+    found = results(spark, sf, tables.ANOMALIES)[0]
     return readside.anomaly_page(found, number=2)
 
 
 @query
 def min_score_page(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ANOMALIES)
+    found = results(spark, sf, tables.ANOMALIES)[0]
     return readside.anomaly_page(found, min_score=0.6, service="auth-service")
 
 
 @query
 def alert_page(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ALERTS)
+    found = results(spark, sf, tables.ALERTS)[0]
     return flat_alerts(readside.alert_page(found, number=2))
 
 
 @query
 def critical_alert_page(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ALERTS)
+    found = results(spark, sf, tables.ALERTS)[0]
     return flat_alerts(readside.alert_page(found, severity="critical"))
 
 
 @query
 def annotated_lines(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ANOMALIES)
+    found = results(spark, sf, tables.ANOMALIES)[0]
     return readside.annotated_lines(log_lines(spark, sf), found)
 
 
 @query
 def log_view(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ANOMALIES)
+    found = results(spark, sf, tables.ANOMALIES)[0]
     return readside.log_view(log_lines(spark, sf), found, number=3)
 
 
 @query
 def anomalous_log_view(spark, sf):
-    found = tables.read_table(spark, result_root(spark, sf), tables.ANOMALIES)
+    found = results(spark, sf, tables.ANOMALIES)[0]
     return readside.log_view(log_lines(spark, sf), found, anomalies_only=True)
 
 
@@ -535,18 +535,15 @@ def live_counters(spark, sf):
 
 @query
 def analysis_list(spark, sf):
-    root = result_root(spark, sf)
-    return readside.analysis_list(tables.read_table(spark, root, tables.STATISTICS)).drop(
-        "analysis_completed"
-    )
+    (statistics,) = results(spark, sf, tables.STATISTICS)
+    return readside.analysis_list(statistics).drop("analysis_completed")
 
 
 @query
 def analysis_result(spark, sf):
     """Record and counts of the first analysed file."""
-    root = result_root(spark, sf)
-    statistics, found, alerts_ = (
-        tables.read_table(spark, root, t) for t in (tables.STATISTICS, tables.ANOMALIES, tables.ALERTS)
+    statistics, found, alerts_ = results(
+        spark, sf, tables.STATISTICS, tables.ANOMALIES, tables.ALERTS
     )
     first = statistics.agg(F.min("file_id")).first()[0]
     return readside.analysis_result(statistics, found, alerts_, first).select(
@@ -555,9 +552,8 @@ def analysis_result(spark, sf):
 
 
 def _report(spark, sf):
-    root = result_root(spark, sf)
-    statistics, found, alerts_ = (
-        tables.read_table(spark, root, t) for t in (tables.STATISTICS, tables.ANOMALIES, tables.ALERTS)
+    statistics, found, alerts_ = results(
+        spark, sf, tables.STATISTICS, tables.ANOMALIES, tables.ALERTS
     )
     method = analyze.METHOD_LABELS[analyze.RULES_TYPE]
     return report.report_lines(REPORT_ID, statistics, found, alerts_, method)
@@ -719,7 +715,7 @@ def analyze_trained_fixed_centers(spark, sf):
 @query
 def result_tables(spark, sf):
     """Anomalies written per file and read back."""
-    return tables.read_table(spark, result_root(spark, sf), tables.ANOMALIES)
+    return results(spark, sf, tables.ANOMALIES)[0]
 
 
 # -------------------------------------------------------------- text sources
@@ -733,7 +729,7 @@ def text_scan(spark, sf):
 @query
 def multi_file(spark, sf):
     """Valid lines and errors per file of a directory, from one scan."""
-    lines = textlogs.scan_log_files(spark, log_directory(spark, sf))
+    lines = textlogs.scan_log_files(spark, log_directory(spark, sf), nested=True)
     rows = valid_lines(parse_lines(lines, ("level", "service")))
     return rows.groupBy(rotated_name()).agg(
         F.count("*").alias("valid_lines"), F.count_if(F.col("level") == "ERROR").alias("error_lines")
@@ -742,19 +738,19 @@ def multi_file(spark, sf):
 
 @query
 def line_counts(spark, sf):
-    lines = textlogs.scan_log_files(spark, log_directory(spark, sf)).withColumn("file_id", rotated_name())
+    lines = textlogs.scan_log_files(spark, log_directory(spark, sf), nested=True).withColumn("file_id", rotated_name())
     return textlogs.line_counts(lines)
 
 
 @query
 def line_numbers(spark, sf):
-    lines = textlogs.numbered_lines(spark, log_directory(spark, sf))
+    lines = textlogs.numbered_lines(spark, log_directory(spark, sf), nested=True)
     return lines.select(rotated_name(), "line_number", "value")
 
 
 @query
 def file_ids(spark, sf):
-    return textlogs.scan_log_files(spark, log_directory(spark, sf)).select("file_id").distinct()
+    return textlogs.scan_log_files(spark, log_directory(spark, sf), nested=True).select("file_id").distinct()
 
 
 @query
@@ -766,7 +762,7 @@ def file_inventory(spark, sf):
 def batch_directory(spark, sf):
     """Every file of a directory analysed in one job: totals over the per-file results."""
     _, model = figured_assignment(spark, sf)
-    _, per_file = batch.analyze_directory(spark, log_directory(spark, sf), model)
+    _, per_file = batch.analyze_directory(spark, log_directory(spark, sf), model, nested=True)
     return batch.batch_summary(per_file)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emberlog.sources.scratch import spread
+
 # {TS} is the engine's own rendering of the event time with milliseconds.
 LOG_LINES_SQL = """
 with b as (
@@ -56,8 +58,9 @@ DUCKDB_TS = "strftime(ts, '%Y-%m-%d %H:%M:%S.%g')"
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file_id, line_number, value`` for every row of the events table, one log file per day."""
-    events = f"parquet.`{sf_dir.rstrip('/')}/events.parquet`"
-    return spark.sql(LOG_LINES_SQL.format(TS=SPARK_TS, EVENTS=events))
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    events = spread(events.select("event_id", "ts", "user_id", "event_type", "value"))
+    return spark.sql(LOG_LINES_SQL.format(TS=SPARK_TS, EVENTS="{events}"), events=events)
 
 
 def duckdb_log_lines() -> str:

@@ -32,3 +32,9 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer splits than cores; larger inputs stay as they are scanned."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ANOMALIES, ALERTS, STATISTICS, REJECTS = "anomalies", "alerts", "statistics", "rejects"
+ALL = (ANOMALIES, ALERTS, STATISTICS, REJECTS)
 
 
 def write_partitions(df: DataFrame, path: str, key: str = "file_id") -> None:

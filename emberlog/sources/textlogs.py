@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
@@ -10,18 +10,29 @@ from emberlog.sources.scratch import staged
 
 LOG_FILE_GLOB = "*.{log,txt}"
 
-# The block table is one row per input split.  Up to this many rows (well below
-# one GiB) it is broadcast; beyond, the join is left to Spark.
-MAX_BROADCAST_BLOCKS = 2_000_000
+# The block table is one row per input split.  Up to this many rows (some 200 MB)
+# it is broadcast; beyond, the join is left to Spark.
+MAX_BROADCAST_BLOCKS = 1_000_000
 
 
-def file_id() -> Column:
-    """``name_mtime``: identity of one version of a file."""
-    return F.concat_ws(
-        "_",
+def file_id(nested: bool = False) -> Column:
+    """``name_mtime``: identity of one version of a file.
+
+    Names are unique within one folder only; ``nested`` adds a hash of the path.
+    """
+    parts = [
         F.col("_metadata.file_name"),
         F.unix_seconds("_metadata.file_modification_time").cast("string"),
-    )
+    ]
+    if nested:
+        parts.append(F.hex(F.xxhash64("_metadata.file_path")))
+    return F.concat_ws("_", *parts)
+
+
+def log_files(reader: DataFrameReader | DataStreamReader, nested: bool = False):
+    """The reader restricted to log files, with subfolders if ``nested``."""
+    reader = reader.option("pathGlobFilter", LOG_FILE_GLOB)
+    return reader.option("recursiveFileLookup", "true") if nested else reader
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -29,15 +40,15 @@ def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
-def scan_log_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All ``.log`` and ``.txt`` files below the paths, in one scan.
+def scan_log_files(spark: SparkSession, paths: str | list[str], nested: bool = False) -> DataFrame:
+    """All ``.log`` and ``.txt`` files of the paths, in one scan.
 
-    ``file_id, file_name, file_path, file_size`` come from the file metadata;
+    ``nested`` also looks into subfolders.  ``file_id, file_name, file_path, file_size`` come from the file metadata;
     the scan prunes what a query does not read.
     """
-    return _log_reader(spark).text(paths).select(
+    return log_files(spark.read, nested).text(paths).select(
         "value",
-        file_id().alias("file_id"),
+        file_id(nested).alias("file_id"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
@@ -50,8 +61,7 @@ def stream_lines(spark: SparkSession, directory: str, max_files: int | None = No
     Every file is read once; checkpoint offsets say which ones are done.
     Appending to a file already seen is not picked up.
     """
-    reader: DataStreamReader = spark.readStream.option("pathGlobFilter", LOG_FILE_GLOB)
-    reader = reader.option("recursiveFileLookup", "true")
+    reader: DataStreamReader = log_files(spark.readStream, nested=True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(directory)
@@ -62,7 +72,7 @@ def line_counts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("file_id").agg(F.count("*").alias("line_count"))
 
 
-def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def numbered_lines(spark: SparkSession, paths: str | list[str], nested: bool = False) -> DataFrame:
     """``file_id, file_name, file_path, line_number, value``, numbered from 1 per file.
 
     The lines themselves are not shuffled.  A first scan counts the lines of
@@ -72,9 +82,9 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     them, the position falls outside its split and the job fails instead of
     handing out wrong numbers.
     """
-    raw = _log_reader(spark).text(paths).select(
+    raw = log_files(spark.read, nested).text(paths).select(
         "value",
-        file_id().alias("file_id"),
+        file_id(nested).alias("file_id"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -104,10 +114,3 @@ def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .alias("line_number"),
         "value",
     )
-
-
-def _log_reader(spark: SparkSession):
-    return (
-        spark.read.option("pathGlobFilter", LOG_FILE_GLOB)
-        .option("recursiveFileLookup", "true")
-    )

@@ -14,7 +14,8 @@ from emberlog.operators.parse import extract_features, parse_lines, valid_lines
 from emberlog.operators.readside import recent_anomalies
 from emberlog.operators.statistics import live_counters
 
-ANOMALIES, COUNTERS, EDGES, GRAPHS = "anomalies", "counters", "edges", "graphs"
+ANOMALIES, COUNTERS, GRAPHS = "anomalies", "counters", "graphs"
+EDGES, SNAPSHOTS = "edges", "edge_snapshots"
 BATCH_INTERVAL = "5 seconds"
 WATERMARK = "10 minutes"
 WINDOW, SLIDE = "30 seconds", "10 seconds"
@@ -82,14 +83,29 @@ def read_sink(spark: SparkSession, sink: str, table: str) -> DataFrame:
 def refresh_graph(spark: SparkSession, sink: str, batch_id: int) -> None:
     """Rebuild the graph document from the edge measures of all batches so far.
 
-    The batches hold sums per edge, so the log lines are not read again.
+    The batches hold sums per edge, so the log lines are not read again, and a
+    refresh starts from the sums of the one before: it reads the batches since.
     """
     measures = read_sink(spark, sink, EDGES).filter(F.col("batch_id") <= batch_id)
-    edges = graph.typed_edges(graph.merge_measures(measures))
+    before = _newest_snapshot(spark, sink, batch_id)
+    if before is not None:
+        snapshot = read_sink(spark, sink, SNAPSHOTS).filter(F.col("batch_id") == before)
+        measures = measures.filter(F.col("batch_id") > before).unionByName(snapshot)
+    _replace(graph.merge_measures(measures), sink, SNAPSHOTS, batch_id)
+    merged = read_sink(spark, sink, SNAPSHOTS).filter(F.col("batch_id") == batch_id)
+    edges = graph.typed_edges(merged)
     document = graph.graph_json(graph.vertices_of(edges), edges.drop("src_type"))
     document.write.mode("overwrite").text(f"{sink}/{GRAPHS}/batch_id={batch_id}")
 
 
+def _newest_snapshot(spark: SparkSession, sink: str, batch_id: int) -> int | None:
+    try:
+        snapshots = read_sink(spark, sink, SNAPSHOTS)
+    except AnalysisException:  # the first refresh
+        return None
+    return snapshots.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+
+
 def latest_graph(spark: SparkSession, sink: str) -> DataFrame:
     """The newest graph document; an empty graph when there is none yet."""
     try:
