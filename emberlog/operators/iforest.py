@@ -51,6 +51,7 @@ class IsolationForest:
 
         def score_batches(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for batch in batches:
+                batch = (batch,) if isinstance(batch, pd.Series) else batch  # a single feature
                 rows = np.column_stack([c.to_numpy(dtype="float64") for c in batch])
                 total = np.zeros(len(rows))
                 everyone = np.arange(len(rows))
