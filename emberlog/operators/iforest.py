@@ -41,30 +41,21 @@ class IsolationForest:
 
     def score(self, df: DataFrame, name: str = "isolation_score") -> DataFrame:
         """Add 2^(-E[path] / c(sample)): near 1 is isolated early, 0.5 and below is ordinary."""
-        trees = []
-        for _, tree in self.nodes.groupby("tree"):
-            tree = tree.sort_values("node")
-            trees.append(
-                tuple(tree[c].to_numpy() for c in ("feature", "split", "below", "above", "path"))
-            )
+        trees = [_walk_tables(tree.sort_values("node")) for _, tree in self.nodes.groupby("tree")]
         scale = average_path(self.sample_size) or 1.0
 
         def score_batches(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for batch in batches:
                 batch = (batch,) if isinstance(batch, pd.Series) else batch  # a single feature
                 rows = np.column_stack([c.to_numpy(dtype="float64") for c in batch])
+                values, start = rows.ravel(), np.arange(len(rows)) * rows.shape[1]
                 total = np.zeros(len(rows))
-                everyone = np.arange(len(rows))
-                for feature, split, below, above, path in trees:
+                for feature, split, child, path, depth in trees:
                     at = np.zeros(len(rows), dtype=np.int64)
-                    moving = everyone
-                    while len(moving):
-                        here = at[moving]
-                        moving = moving[feature[here] >= 0]
-                        here = at[moving]
-                        lower = rows[moving, feature[here]] < split[here]
-                        at[moving] = np.where(lower, below[here], above[here])
-                    total += path[at]
+                    for _ in range(depth):
+                        above = values.take(start + feature.take(at)) >= split.take(at)
+                        at = child.take(2 * at + above)
+                    total += path.take(at)
                 mean = total / max(len(trees), 1)
                 yield pd.Series(np.where(np.isnan(rows).any(axis=1), np.nan, 2.0 ** (-mean / scale)))
 
@@ -84,6 +75,21 @@ class IsolationForest:
         return cls(meta.features, meta.sample_size, spark.read.parquet(f"{path}/nodes").toPandas())
 
 
+def _walk_tables(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Arrays for walking whole batches: leaves point to themselves, so all rows take equal steps."""
+    leaf = (tree["feature"] < 0).to_numpy()
+    node = tree["node"].to_numpy(dtype=np.int64)
+    feature = np.where(leaf, 0, tree["feature"]).astype(np.int64)
+    split = np.where(leaf, np.inf, tree["split"])
+    below, above = (np.where(leaf, node, tree[side]).astype(np.int64) for side in ("below", "above"))
+    child = np.column_stack([below, above]).ravel()
+    depth, level = 0, np.zeros(1, dtype=np.int64)
+    while not leaf[level].all():
+        level = np.unique(child[np.concatenate([2 * level, 2 * level + 1])])
+        depth += 1
+    return feature, split, child, tree["path"].to_numpy(), depth
+
+
 def tree_samples(
     df: DataFrame, total: int, key: Sequence[str], trees: int, sample_size: int, seed: int
 ) -> DataFrame:
@@ -103,8 +109,11 @@ def tree_samples(
     else:
         offered = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     order = Window.partitionBy("tree").orderBy("_rank", *key)
+    # An explicit number keeps adaptive execution from packing all trees into one task.
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     return (
-        offered.withColumn("_rank", F.xxhash64(*key, "tree", F.lit(seed + 2)))
+        offered.repartition(tasks, "tree")
+        .withColumn("_rank", F.xxhash64(*key, "tree", F.lit(seed + 2)))
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= sample_size)
     )
