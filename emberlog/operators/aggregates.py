@@ -17,6 +17,11 @@ from emberlog.functions import fixed
 # ------------------------------------------------------------- over log rows
 
 
+# What the windowed metrics read of a line, and the one feature they use.
+WINDOW_FIELDS = ("timestamp", "level", "service", "ip_address", "response_time")
+WINDOW_FEATURES = ("suspicious_ip",)
+
+
 def windowed_metrics(features: DataFrame, duration: str = "1 minute", slide: str | None = None) -> DataFrame:
     """Tumbling (or sliding) window x service; works on batches and streams."""
     bucket = F.window("timestamp", duration, slide)
@@ -33,6 +38,10 @@ def windowed_metrics(features: DataFrame, duration: str = "1 minute", slide: str
     )
 
 
+TREND_FIELDS = ("level", "service", "response_time")
+TREND_FEATURES = ("level_error", "level_warn")
+
+
 def service_trend(features: DataFrame) -> DataFrame:
     """Errors, warnings and mean response time per service."""
     return features.groupBy("service").agg(

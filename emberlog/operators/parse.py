@@ -31,9 +31,13 @@ def valid_lines(parsed: DataFrame) -> DataFrame:
     return parsed.filter(C.is_valid())
 
 
-def extract_features(parsed: DataFrame) -> DataFrame:
-    """Add the ten numeric features; unused ones are pruned by the optimizer."""
-    return parsed.withColumns(C.feature_columns())
+def extract_features(parsed: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Add the numeric features, all ten or the named ones.
+
+    Name them when ``parsed`` holds only some of the fields.
+    """
+    columns = C.feature_columns()
+    return parsed.withColumns({n: columns[n] for n in (columns if names is None else names)})
 
 
 def complete_rows(features: DataFrame, names: Sequence[str] = fixed.FEATURES_8) -> DataFrame:

@@ -150,6 +150,7 @@ def analysis_list(statistics: DataFrame) -> DataFrame:
         "total_logs",
         "anomalies_found",
         "critical_alerts",
+        "processing_time",
     ).orderBy(F.desc("analysis_completed"), "file_id")
 
 

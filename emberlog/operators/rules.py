@@ -15,6 +15,10 @@ RECORD_COLUMNS = [
 ]
 
 
+# What the rule score reads of a line; parse only these (and what the query shows).
+SCORE_FIELDS = ("level", "message", "response_time")
+
+
 def with_pattern_score(parsed: DataFrame) -> DataFrame:
     return C.computed_once(parsed, {"anomaly_score": C.pattern_score()})
 

@@ -6,7 +6,9 @@ number of files; records and statistics carry the ``file_id``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from emberlog.functions import fixed
 from emberlog.functions.params import AnalysisOptions
 from emberlog.operators import centers, iforest, kmeans, rules
+from emberlog.operators.aggregates import TREND_FEATURES, TREND_FIELDS, service_trend
 from emberlog.operators.parse import (
     complete_rows,
     extract_features,
@@ -39,24 +42,35 @@ class Analysis:
     statistics: DataFrame   # one record per file
     rejects: DataFrame      # lines a model cannot score
     analysis_type: str
+    started: float = field(default_factory=time.time)
 
     def write(self, root: str, only: tuple[str, ...] = tables.ALL) -> None:
-        """Write the result tables, replacing only the partitions of these files."""
-        labelled = self.statistics.withColumns(
+        """Write the result tables, replacing only the partitions of these files.
+
+        The statistics come last: their run id says which rows of the other
+        tables are current, so a run without anomalies hides those of the run before.
+        """
+        run = uuid.uuid4().hex
+        rows = {
+            tables.ANOMALIES: self.anomalies,
+            tables.ALERTS: self.alerts,
+            tables.REJECTS: self.rejects,
+        }
+        for name, df in rows.items():
+            if name in only:
+                tables.write_table(df, root, name, run)
+        if tables.STATISTICS in only:
+            tables.write_table(self._labelled(), root, tables.STATISTICS, run)
+
+    def _labelled(self) -> DataFrame:
+        return self.statistics.withColumns(
             {
                 "analysis_method": F.lit(METHOD_LABELS[self.analysis_type]),
                 "status": F.lit("completed"),
                 "analysis_completed": F.current_timestamp(),
+                "processing_time": F.lit(round(time.time() - self.started, 2)),
             }
         )
-        results = {
-            tables.ANOMALIES: self.anomalies,
-            tables.ALERTS: self.alerts,
-            tables.STATISTICS: labelled,
-            tables.REJECTS: self.rejects,
-        }
-        for name in only:
-            tables.write_table(results[name], root, name)
 
 
 def _analysis(
@@ -150,12 +164,20 @@ def analyze_trained(
     )
 
 
+def historical_report(lines: DataFrame) -> DataFrame:
+    """Errors, warnings and mean response time per service of past lines."""
+    parsed = valid_lines(parse_lines(lines, TREND_FIELDS))
+    return service_trend(extract_features(parsed, TREND_FEATURES))
+
+
 def analyze(lines: DataFrame, options: AnalysisOptions = AnalysisOptions()) -> Analysis:
     """Analyse lines with the method the options name."""
     context = lines.sparkSession.sparkContext
     label = METHOD_LABELS[ML_TYPE if options.use_ml else RULES_TYPE]
     context.setJobDescription(f"log analysis: {label}")
+    started = time.time()
     try:
-        return analyze_ml(lines, options) if options.use_ml else analyze_rules(lines, options, stage=True)
+        done = analyze_ml(lines, options) if options.use_ml else analyze_rules(lines, options, stage=True)
+        return replace(done, started=started)
     finally:
         context.setJobDescription(None)

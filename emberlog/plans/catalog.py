@@ -7,6 +7,7 @@ that results compare exactly with the oracle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ from emberlog.operators.parse import (
     render_lines,
     valid_lines,
 )
-from emberlog.plans import analyze, batch
+from emberlog.plans import analyze, batch, graphs
 from emberlog.sources import inventory, models, tables, textlogs
 from emberlog.sources.event_lines import log_lines
 from emberlog.sources.scratch import scratch_dir, staged
@@ -48,6 +49,7 @@ FIXED_CENTERS = [
 
 # Rotation of the text files that source and streaming queries write and read.
 LINES_PER_FILE = 4000
+LINES_PER_STREAM_FILE = 1_000_000
 REPORT_ID = "events"
 
 
@@ -88,12 +90,13 @@ def valid(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
     return valid_lines(parsed(spark, sf, *fields, *(("level", "service") if fields else ())))
 
 
-def features(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
-    return extract_features(valid(spark, sf, *fields)) if not fields else valid(spark, sf, *fields)
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    return extract_features(valid(spark, sf))
 
 
-def anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.pattern_anomalies(parsed(spark, sf))
+def anomalies(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
+    """Rule anomalies with the named fields besides those the score reads (all if none)."""
+    return rules.pattern_anomalies(parsed(spark, sf, *(fields and (*rules.SCORE_FIELDS, *fields))))
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,7 +191,8 @@ def render_lines_query(spark, sf):
 
 @query
 def pattern_score(spark, sf):
-    return rules.with_pattern_score(parsed(spark, sf)).select("file_id", "line_number", "anomaly_score")
+    scored = rules.with_pattern_score(parsed(spark, sf, *rules.SCORE_FIELDS))
+    return scored.select("file_id", "line_number", "anomaly_score")
 
 
 @query
@@ -198,9 +202,8 @@ def pattern_anomalies(spark, sf):
 
 @query
 def severity(spark, sf):
-    return rules.with_severity(rules.with_pattern_score(parsed(spark, sf))).select(
-        "file_id", "line_number", "severity", "priority"
-    )
+    scored = rules.with_pattern_score(parsed(spark, sf, *rules.SCORE_FIELDS))
+    return rules.with_severity(scored).select("file_id", "line_number", "severity", "priority")
 
 
 @query
@@ -210,17 +213,17 @@ def alerts(spark, sf):
 
 @query
 def error_patterns(spark, sf):
-    return A.error_patterns(anomalies(spark, sf))
+    return A.error_patterns(anomalies(spark, sf, "message"))
 
 
 @query
 def distinct_entities(spark, sf):
-    return A.distinct_entities(anomalies(spark, sf))
+    return A.distinct_entities(anomalies(spark, sf, "service", "ip_address"))
 
 
 @query
 def first_last(spark, sf):
-    return A.first_last(anomalies(spark, sf))
+    return A.first_last(anomalies(spark, sf, "timestamp"))
 
 
 # ------------------------------------------------------ windows, timelines
@@ -232,25 +235,31 @@ def _windows(df: DataFrame) -> DataFrame:
     ).drop("window")
 
 
+def _window_input(spark, sf):
+    return extract_features(valid(spark, sf, *A.WINDOW_FIELDS), A.WINDOW_FEATURES)
+
+
 @query
 def tumbling_service(spark, sf):
-    return _windows(A.windowed_metrics(features(spark, sf)))
+    return _windows(A.windowed_metrics(_window_input(spark, sf)))
 
 
 @query
 def sliding_service(spark, sf):
-    return _windows(A.windowed_metrics(features(spark, sf), detect.WINDOW, detect.SLIDE))
+    return _windows(A.windowed_metrics(_window_input(spark, sf), detect.WINDOW, detect.SLIDE))
 
 
 @query
 def timeline_minute(spark, sf):
-    return A.timeline_minute(anomalies(spark, sf))
+    return A.timeline_minute(anomalies(spark, sf, "timestamp"))
 
 
 @query
 def timeline_hour(spark, sf):
     """The flagship: parse, validate, score, select and bucket in one pass."""
-    return A.timeline_hour(rules.pattern_anomalies(valid(spark, sf)))
+    return A.timeline_hour(
+        rules.pattern_anomalies(valid(spark, sf, "timestamp", *rules.SCORE_FIELDS))
+    )
 
 
 # --------------------------------------------------- statistics over lines
@@ -258,7 +267,7 @@ def timeline_hour(spark, sf):
 
 @query
 def service_trend(spark, sf):
-    return A.service_trend(extract_features(valid(spark, sf)))
+    return analyze.historical_report(log_lines(spark, sf))
 
 
 @query
@@ -290,7 +299,7 @@ def describe(spark, sf):
 
 @query
 def severity_counts(spark, sf):
-    return A.severity_totals(anomalies(spark, sf))
+    return A.severity_totals(anomalies(spark, sf, "level"))
 
 
 @query
@@ -300,21 +309,22 @@ def alert_counts(spark, sf):
 
 @query
 def service_dist(spark, sf):
-    return A.counts_by(anomalies(spark, sf), "service", "anomaly_count")
+    return A.counts_by(anomalies(spark, sf, "service"), "service", "anomaly_count")
 
 
 @query
 def severity_dist(spark, sf):
-    return A.severity_distribution(anomalies(spark, sf))
+    return A.severity_distribution(anomalies(spark, sf, "level"))
 
 
 @query
 def top_anomalous_ips(spark, sf):
-    return A.top_counts(anomalies(spark, sf), "ip_address", name="anomaly_count")
+    return A.top_counts(anomalies(spark, sf, "ip_address"), "ip_address", name="anomaly_count")
 
 
 def _rule_statistics(spark, sf, by):
-    scored = rules.with_pattern_score(parsed(spark, sf))
+    fields = (*rules.SCORE_FIELDS, "timestamp", "service", "ip_address")
+    scored = rules.with_pattern_score(parsed(spark, sf, *fields))
     return S.analysis_statistics(scored, F.col("anomaly_score") >= Thresholds.analysis_anomaly, by)
 
 
@@ -341,14 +351,13 @@ def _graph_input(spark, sf):
     return valid(spark, sf, *graph.GRAPH_FIELDS)
 
 
-def _typed_edges(spark, sf):
-    """Edges written once; vertices, degrees and scores read them from there."""
-    return staged(graph.typed_edges(graph.edge_measures(_graph_input(spark, sf))), "edges")
+def _built_graph(spark, sf):
+    return graphs.build_graph(_graph_input(spark, sf))
 
 
 def _scored_nodes(spark, sf):
-    edges = _typed_edges(spark, sf)
-    return graph.node_scores(staged(graph.node_statistics_of(edges), "nodes")), edges
+    _, edges = _built_graph(spark, sf)
+    return graphs.graph_anomalies(edges)[0], edges
 
 
 @query
@@ -369,10 +378,9 @@ def vertex_counts(spark, sf):
 @query
 def graph_size(spark, sf):
     """Total vertices and edges."""
-    edges = _typed_edges(spark, sf)
-    n = F.count("*").alias("n")
+    vertices, edges = _built_graph(spark, sf)
     return edges.agg(F.count("*").alias("edge_count")).withColumn(
-        "vertex_count", graph.vertices_of(edges).agg(n).scalar()
+        "vertex_count", vertices.agg(F.count("*").alias("n")).scalar()
     )
 
 
@@ -388,8 +396,7 @@ def in_degree(spark, sf):
 
 @query
 def node_stats(spark, sf):
-    edges = _typed_edges(spark, sf)
-    return graph.node_statistics(graph.vertices_of(edges), edges)
+    return graph.node_statistics(*_built_graph(spark, sf))
 
 
 @query
@@ -420,8 +427,7 @@ def suspicious_connections(spark, sf):
 
 @query
 def targeted_services(spark, sf):
-    nodes, edges = _scored_nodes(spark, sf)
-    return graph.targeted_services(graph.suspicious_connections(edges, graph.suspicious_ips(nodes)))
+    return graphs.anomalous_patterns(*_scored_nodes(spark, sf))[1]
 
 
 @query
@@ -431,9 +437,8 @@ def top_edges(spark, sf):
 
 def _whole_graph(spark, sf):
     """Graph of all lines, corrupt ones included: they give edges without usable ends."""
-    measures = graph.edge_measures(parsed(spark, sf, *graph.GRAPH_FIELDS))
-    edges = staged(graph.typed_edges(measures), "edges")
-    return graph.vertices_of(edges), edges.drop("src_type")
+    vertices, edges = graphs.build_graph(parsed(spark, sf, *graph.GRAPH_FIELDS))
+    return vertices, edges.drop("src_type")
 
 
 @query
@@ -452,7 +457,7 @@ def skipped_links(spark, sf):
 def graph_json(spark, sf):
     """The exported document, written, read back and unfolded into rows."""
     path = scratch_dir(spark, "graph")
-    graph.graph_json(*_whole_graph(spark, sf)).write.text(path)
+    graphs.export_graph(*_whole_graph(spark, sf), path)
     schema = "nodes array<struct<id string, type string, label string>>, links array<struct<source string, target string, value bigint>>"
     doc = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("g"))
     nodes = doc.select(F.posexplode("g.nodes").alias("place", "n")).select(
@@ -530,13 +535,13 @@ def recent_service_dist(spark, sf):
 
 @query
 def live_counters(spark, sf):
-    return S.live_counters(rules.with_pattern_score(valid(spark, sf)))
+    return S.live_counters(rules.with_pattern_score(valid(spark, sf, *rules.SCORE_FIELDS)))
 
 
 @query
 def analysis_list(spark, sf):
     (statistics,) = results(spark, sf, tables.STATISTICS)
-    return readside.analysis_list(statistics).drop("analysis_completed")
+    return readside.analysis_list(statistics).drop("analysis_completed", "processing_time")
 
 
 @query
@@ -770,10 +775,12 @@ def batch_directory(spark, sf):
 
 
 def _time_ordered_files(spark, sf) -> str:
-    """The lines as text files that follow each other in time."""
+    """The lines as text files of a bounded size that follow each other in time."""
     path = scratch_dir(spark, "stream-input")
-    lines = parse_lines(log_lines(spark, sf), ("timestamp",), keep_value=True)
-    lines.repartitionByRange(5, "timestamp", "line_number").select("value").write.text(path)
+    lines = log_lines(spark, sf)
+    files = max(5, math.ceil(lines.count() / LINES_PER_STREAM_FILE))
+    dated = parse_lines(lines, ("timestamp",), keep_value=True)
+    dated.repartitionByRange(files, "timestamp", "line_number").select("value").write.text(path)
     return path
 
 
@@ -783,7 +790,7 @@ def stream_detect(spark, sf):
     _, model = fixed_assignment(spark, sf)
     sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "checkpoint")
     lines = textlogs.stream_lines(spark, _time_ordered_files(spark, sf))
-    detect.start_detection(lines, model, sink, checkpoint, interval=None, graph_every=1).awaitTermination()
+    detect.start_detection(lines, model, sink, checkpoint, interval=None, graph_every=0).awaitTermination()
     return detect.read_sink(spark, sink, detect.ANOMALIES).drop("batch_id")
 
 

@@ -12,12 +12,16 @@ _LOCAL_DIR = "emberlog.local.scratch.dir"  # set by local sessions only
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir`` (or the context's checkpoint folder).
 
     Only a local session that names no such folder gets a temporary one; on a
     cluster a machine-local folder would be lost with its machine.
     """
-    root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.conf.get(_LOCAL_DIR, None)
+    root = (
+        spark.conf.get(_CHECKPOINT_DIR, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(_LOCAL_DIR, None)
+    )
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")

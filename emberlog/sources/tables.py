@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 ANOMALIES, ALERTS, STATISTICS, REJECTS = "anomalies", "alerts", "statistics", "rejects"
 ALL = (ANOMALIES, ALERTS, STATISTICS, REJECTS)
@@ -24,14 +25,27 @@ def write_partitions(df: DataFrame, path: str, key: str = "file_id") -> None:
     )
 
 
-def write_table(df: DataFrame, root: str, table: str) -> None:
-    write_partitions(df, f"{root}/{table}")
+def write_table(df: DataFrame, root: str, table: str, run_id: str) -> None:
+    write_partitions(df.withColumn("run_id", F.lit(run_id)), f"{root}/{table}")
 
 
 def read_table(spark: SparkSession, root: str, table: str, file_id: str | None = None) -> DataFrame:
-    """A result table, pruned to one analysis if asked."""
-    df = spark.read.parquet(f"{root}/{table}").withColumn("file_id", F.col("file_id").cast("string"))
-    return df if file_id is None else df.filter(F.col("file_id") == file_id)
+    """The current rows of a result table, pruned to one analysis if asked."""
+    df = _stored(spark, root, table)
+    if file_id is not None:
+        df = df.filter(F.col("file_id") == file_id)
+    if table != STATISTICS:
+        try:
+            runs = _stored(spark, root, STATISTICS).select("file_id", "run_id")
+            df = df.join(runs, ["file_id", "run_id"], "left_semi")
+        except AnalysisException:  # written without statistics: a single run
+            pass
+    return df.drop("run_id")
+
+
+def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    df = spark.read.parquet(f"{root}/{table}")
+    return df.withColumn("file_id", F.col("file_id").cast("string"))
 
 
 def write_lines(df: DataFrame, path: str, column: str = "value") -> None:

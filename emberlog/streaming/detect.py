@@ -9,10 +9,11 @@ from pyspark.sql.utils import AnalysisException
 
 from emberlog.functions.params import Thresholds
 from emberlog.operators import centers, graph
-from emberlog.operators.aggregates import windowed_metrics
+from emberlog.operators.aggregates import WINDOW_FEATURES, WINDOW_FIELDS, windowed_metrics
 from emberlog.operators.parse import extract_features, parse_lines, valid_lines
 from emberlog.operators.readside import recent_anomalies
 from emberlog.operators.statistics import live_counters
+from emberlog.plans.graphs import empty_graph, export_graph
 
 ANOMALIES, COUNTERS, GRAPHS = "anomalies", "counters", "graphs"
 EDGES, SNAPSHOTS = "edges", "edge_snapshots"
@@ -94,8 +95,7 @@ def refresh_graph(spark: SparkSession, sink: str, batch_id: int) -> None:
     _replace(graph.merge_measures(measures), sink, SNAPSHOTS, batch_id)
     merged = read_sink(spark, sink, SNAPSHOTS).filter(F.col("batch_id") == batch_id)
     edges = graph.typed_edges(merged)
-    document = graph.graph_json(graph.vertices_of(edges), edges.drop("src_type"))
-    document.write.mode("overwrite").text(f"{sink}/{GRAPHS}/batch_id={batch_id}")
+    export_graph(graph.vertices_of(edges), edges, f"{sink}/{GRAPHS}/batch_id={batch_id}")
 
 
 def _newest_snapshot(spark: SparkSession, sink: str, batch_id: int) -> int | None:
@@ -115,7 +115,7 @@ def latest_graph(spark: SparkSession, sink: str) -> DataFrame:
             .text(f"{sink}/{GRAPHS}")
         )
     except AnalysisException:
-        return spark.range(1).select(F.lit('{"nodes":[],"links":[]}').alias("value"))
+        return empty_graph(spark)
     return graphs.orderBy(F.desc("batch_id")).limit(1).select("value")
 
 
@@ -152,7 +152,7 @@ def stream_windows(
     lines: DataFrame, duration: str = "1 minute", slide: str | None = None, watermark: str = WATERMARK
 ) -> DataFrame:
     """Windowed metrics on a stream; rows later than the watermark are dropped."""
-    features = extract_features(valid_lines(parse_lines(lines)))
+    features = extract_features(valid_lines(parse_lines(lines, WINDOW_FIELDS)), WINDOW_FEATURES)
     return windowed_metrics(features.withWatermark("timestamp", watermark), duration, slide)
 
 

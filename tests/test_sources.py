@@ -1,5 +1,6 @@
 """File sources, numbering, inventory and result tables."""
 
+import json
 import os
 
 import pytest
@@ -8,7 +9,7 @@ from conftest import log_line
 from emberlog.functions import columns as C
 from emberlog.functions import fixed
 from emberlog.operators.centers import CenterModel
-from emberlog.plans import analyze, batch
+from emberlog.plans import analyze, batch, graphs
 from emberlog.sources import inventory, scratch, tables, textlogs
 from emberlog.functions.params import AnalysisOptions
 from pyspark.sql import functions as F
@@ -124,6 +125,32 @@ def test_written_analysis_is_complete(spark, log_dir, tmp_path_factory):
     assert tables.read_table(spark, root, tables.STATISTICS, one).count() == 1
 
 
+def test_repeated_analysis_hides_former_rows(spark, log_dir, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("results"))
+    lines = textlogs.numbered_lines(spark, str(log_dir)).select("file_id", "line_number", "value")
+    for threshold, expected in ((0.4, 2), (0.9, 0), (0.8, 1)):
+        analyze.analyze_rules(lines, AnalysisOptions(use_ml=False, anomaly_threshold=threshold)).write(root)
+        assert tables.read_table(spark, root, tables.ANOMALIES).count() == expected
+    row = tables.read_table(spark, root, tables.STATISTICS).first()
+    assert row.status == "completed" and row.processing_time >= 0
+
+
+def test_graph_export_falls_back_to_an_empty_graph(spark, tmp_path):
+    edges = spark.createDataFrame([("a", "b", 1)], "src string, dst string, weight bigint")
+    vertices = spark.createDataFrame([("a", "ip"), ("b", "service")], "id string, type string")
+    assert graphs.export_graph(vertices, edges, str(tmp_path / "g"))
+    assert json.loads(spark.read.text(str(tmp_path / "g")).first().value)["links"] == [
+        {"source": "a", "target": "b", "value": 1}]
+    assert not graphs.export_graph(vertices, edges.drop("dst"), str(tmp_path / "g"))
+    assert json.loads(spark.read.text(str(tmp_path / "g")).first().value) == {"nodes": [], "links": []}
+
+
+def test_scratch_follows_the_session(spark, monkeypatch):
+    path = scratch.scratch_dir(spark, "x")
+    assert scratch.scratch_dir(spark, "x") != path
+    assert path.rsplit("/", 1)[0] == scratch.scratch_dir(spark, "y").rsplit("/", 1)[0]
+
+
 def test_alerts_can_be_switched_off(spark, log_dir):
     lines = textlogs.numbered_lines(spark, str(log_dir)).select("file_id", "line_number", "value")
     quiet = analyze.analyze_rules(lines, AnalysisOptions(use_ml=False, generate_alerts=False))
