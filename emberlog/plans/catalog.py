@@ -8,6 +8,7 @@ that results compare exactly with the oracle.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -650,6 +651,16 @@ def kmeans_clusters(spark, sf):
     return model.assign(rows).select(*_ASSIGNED)
 
 
+@query
+def pipeline_agreement(spark, sf):
+    """Rows whose cluster by column expressions differs from the fitted pipeline's."""
+    rows = staged(complete_rows(features(spark, sf)), "features")
+    pipeline, model = kmeans.fit_kmeans(rows)
+    theirs = pipeline.transform(rows).withColumnRenamed("cluster", "pipeline_cluster")
+    differs = F.col("cluster") != F.col("pipeline_cluster")
+    return model.assign(theirs).agg(F.count("*").alias("scored_rows"), F.count_if(differs).alias("differing_rows"))
+
+
 @query
 def isolation_score(spark, sf):
     rows = staged(features(spark, sf), "features")
@@ -666,6 +677,17 @@ def ensemble(spark, sf):
     )
 
 
+@query
+def ml_line_counts(spark, sf):
+    """Every valid line is either scored or rejected; all scores lie in [0, 1]."""
+    done = analyze.analyze_ml(log_lines(spark, sf))
+    inside = [F.col(c).between(0, 1) for c in ("anomaly_score", "isolation_score", "final_anomaly_score")]
+    return done.scored.agg(
+        F.count("*").alias("scored_lines"),
+        F.count_if(inside[0] & inside[1] & inside[2]).alias("scores_in_range"),
+    ).withColumn("rejected_lines", done.rejects.agg(F.count("*").alias("n")).scalar())
+
+
 @query
 def ensemble_counts(spark, sf):
     """Rows by combined decision."""
@@ -815,13 +837,11 @@ def stream_graph(spark, sf):
     return detect.latest_graph(spark, sink).select(F.inline(F.from_json("value", links)["links"]))
 
 
-@query
-def stream_windows(spark, sf):
-    """Windows closed by the watermark in a streaming run over all lines."""
+def _streamed_windows(spark, sf, *frame: str) -> DataFrame:
     out, checkpoint = scratch_dir(spark, "windows"), scratch_dir(spark, "checkpoint")
     lines = textlogs.stream_lines(spark, _time_ordered_files(spark, sf))
     (
-        detect.stream_windows(lines)
+        detect.stream_windows(lines, *frame)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -833,6 +853,37 @@ def stream_windows(spark, sf):
     return _windows(spark.read.parquet(out))
 
 
+@query
+def stream_windows(spark, sf):
+    """Windows closed by the watermark in a streaming run over all lines."""
+    return _streamed_windows(spark, sf, "1 minute")
+
+
+@query
+def stream_sliding(spark, sf):
+    """Sliding windows closed by the watermark."""
+    return _streamed_windows(spark, sf, detect.WINDOW, detect.SLIDE)
+
+
+@query
+def running_counters(spark, sf):
+    """Stateful running totals after a streaming run; the result table is one row."""
+    _, model = fixed_assignment(spark, sf)
+    scored = detect.live_scores(textlogs.stream_lines(spark, _time_ordered_files(spark, sf), max_files=2), model)
+    name = f"running_{uuid.uuid4().hex}"
+    (
+        detect.running_counters(scored)
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName(name)
+        .option("checkpointLocation", scratch_dir(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.table(name)
+
+
 # Operators that share their name with a query helper are registered under it.
 for _name in ("parse_lines", "valid_lines", "features", "render_lines"):
     QUERIES[_name] = QUERIES.pop(f"{_name}_query")

