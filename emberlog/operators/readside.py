@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.functions import columns as C
 from emberlog.sources.scratch import staged
 
 
+# Up to this many skipped rows a page is a plain top-n.
+DEEP_OFFSET = 100_000
+
+
 def page(
     df: DataFrame,
     order: Sequence[Column | str],
@@ -19,21 +23,55 @@ def page(
 ) -> DataFrame:
     """Rows of one page plus ``page, total, pages``.
 
-    ``order`` must end in a unique key.  Offset paging keeps offset + limit rows
-    per task, which suits the first pages; walk deep with :func:`page_after`.
+    ``order`` must end in a unique key.  The first pages are a top-n per task;
+    behind ``DEEP_OFFSET`` rows the page is found by position instead, because a
+    top-n keeps offset + limit rows in every task.
     """
     total = df.agg(F.count("*").alias("n")).scalar()
-    return (
-        df.orderBy(*order)
-        .offset((number - 1) * per_page)
-        .limit(per_page)
+    skipped = (number - 1) * per_page
+    if skipped <= DEEP_OFFSET:
+        rows = df.orderBy(*order).offset(skipped).limit(per_page)
+    else:
+        rows = _rows_at(df, order, skipped, per_page)
+    return rows.withColumns(
+        {
+            "page": F.lit(number),
+            "total": total,
+            "pages": F.ceil(total / per_page),
+        }
+    )
+
+
+def _rows_at(df: DataFrame, order: Sequence[Column | str], first: int, count: int) -> DataFrame:
+    """Rows ``first`` to ``first + count - 1`` in the given order.
+
+    Sorts by range once, then counts rows per sorted part; a running sum over
+    the parts (one row per shuffle partition) places every row.
+    """
+    sorted_rows = staged(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumns(
             {
-                "page": F.lit(number),
-                "total": total,
-                "pages": F.ceil(total / per_page),
+                "_part": F.spark_partition_id(),
+                "_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
             }
-        )
+        ),
+        "sorted",
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        sorted_rows.groupBy("_part")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .select("_part", "_before")
+    )
+    place = F.col("_before") + F.col("_place")
+    return (
+        sorted_rows.join(F.broadcast(parts), "_part")  # one row per shuffle partition
+        .filter((place >= first) & (place < first + count))
+        .orderBy(*order)
+        .select(*df.columns)
     )
 
 

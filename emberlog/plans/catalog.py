@@ -121,6 +121,13 @@ def fixed_assignment(spark: SparkSession, sf: str) -> tuple[DataFrame, centers.C
     return model.assign(rows), model
 
 
+def stream_model(spark: SparkSession, sf: str) -> centers.CenterModel:
+    """The literal centres, with the standardisation taken in one pass over the lines."""
+    fields = ("level", "message", "service", "ip_address", "response_time")
+    names = [n for n in fixed.FEATURES_8 if n != "response_time"]
+    return fixed_model(spark, complete_rows(extract_features(valid(spark, sf, *fields), names)))
+
+
 def figured_assignment(spark: SparkSession, sf: str) -> tuple[DataFrame, centers.CenterModel]:
     rows = staged(features(spark, sf), "features")
     complete = complete_rows(rows)
@@ -809,7 +816,7 @@ def _time_ordered_files(spark, sf) -> str:
 @query
 def stream_detect(spark, sf):
     """Anomalies found by the streaming job over all lines, read from its sink."""
-    _, model = fixed_assignment(spark, sf)
+    model = stream_model(spark, sf)
     sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "checkpoint")
     lines = textlogs.stream_lines(spark, _time_ordered_files(spark, sf))
     detect.start_detection(lines, model, sink, checkpoint, interval=None, graph_every=0).awaitTermination()
@@ -819,7 +826,7 @@ def stream_detect(spark, sf):
 @query
 def stream_statistics(spark, sf):
     """Running totals of the streaming job."""
-    _, model = fixed_assignment(spark, sf)
+    model = stream_model(spark, sf)
     sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "checkpoint")
     lines = textlogs.stream_lines(spark, _time_ordered_files(spark, sf), max_files=2)
     detect.start_detection(lines, model, sink, checkpoint, interval=None, graph_every=0).awaitTermination()
@@ -829,7 +836,7 @@ def stream_statistics(spark, sf):
 @query
 def stream_graph(spark, sf):
     """Weights of the graph document that the streaming job refreshed last."""
-    _, model = fixed_assignment(spark, sf)
+    model = stream_model(spark, sf)
     sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "checkpoint")
     lines = textlogs.stream_lines(spark, _time_ordered_files(spark, sf), max_files=1)
     detect.start_detection(lines, model, sink, checkpoint, interval=None, graph_every=1).awaitTermination()
@@ -868,7 +875,7 @@ def stream_sliding(spark, sf):
 @query
 def running_counters(spark, sf):
     """Stateful running totals after a streaming run; the result table is one row."""
-    _, model = fixed_assignment(spark, sf)
+    model = stream_model(spark, sf)
     scored = detect.live_scores(textlogs.stream_lines(spark, _time_ordered_files(spark, sf), max_files=2), model)
     name = f"running_{uuid.uuid4().hex}"
     (

@@ -27,15 +27,21 @@ RECORD = [
 ]
 
 
-def live_scores(lines: DataFrame, model: centers.CenterModel) -> DataFrame:
-    """Valid lines with their linear distance score; the fitted model is never refitted."""
+def live_scores(lines: DataFrame, model: centers.CenterModel | None) -> DataFrame:
+    """Valid lines with their linear distance score; the fitted model is never refitted.
+
+    Without a model every line gets the neutral score.
+    """
     features = extract_features(valid_lines(parse_lines(lines)))
+    if model is None:
+        unknown = {"cluster": F.lit(None).cast("int"), "distance_to_center": F.lit(None).cast("double")}
+        return centers.linear_scores(features.withColumns(unknown))
     return centers.linear_scores(model.assign(features))
 
 
 def start_detection(
     lines: DataFrame,
-    model: centers.CenterModel,
+    model: centers.CenterModel | None,
     sink: str,
     checkpoint: str,
     thresholds: Thresholds = Thresholds(),

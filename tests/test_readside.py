@@ -36,6 +36,15 @@ def test_pages(rows, n, number, first, count, pages):
         assert {(r.page, r.total, r.pages) for r in got} == {(number, n, pages)}
 
 
+@pytest.mark.parametrize("number", [1, 2, 5, 8, 9])
+def test_deep_pages_equal_plain_pages(rows, number, monkeypatch):
+    df = rows(400).repartition(7)
+    order = [F.desc("service"), F.asc("line_number")]
+    plain = readside.page(df, order, number, 50).collect()
+    monkeypatch.setattr(readside, "DEEP_OFFSET", -1)
+    assert readside.page(df, order, number, 50).collect() == plain
+
+
 def test_page_filters(rows):
     got = readside.anomaly_page(rows(100), min_score=0.9, service="even").collect()
     assert [r.line_number for r in got] == [90, 92, 94, 96, 98, 100]

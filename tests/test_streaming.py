@@ -83,6 +83,12 @@ def test_replayed_batch_replaces_its_own_rows(spark, dirs):
     assert detect.read_sink(spark, str(dirs["sink"]), detect.ANOMALIES).count() == 1
 
 
+def test_without_a_model_every_line_is_neutral(spark, dirs):
+    fill(dirs, 0, 1)
+    scored = detect.live_scores(textlogs.scan_lines(spark, str(dirs["in"])), None)
+    assert {r.anomaly_score for r in scored.collect()} == {0.5} and scored.count() == 3
+
+
 def test_no_graph_yet(spark, tmp_path):
     assert json.loads(detect.latest_graph(spark, str(tmp_path)).first().value) == {"nodes": [], "links": []}
 
