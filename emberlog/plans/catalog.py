@@ -114,11 +114,15 @@ def fixed_model(spark: SparkSession, rows: DataFrame) -> centers.CenterModel:
     return centers.CenterModel(fixed.FEATURES_8, means, stds, FIXED_CENTERS)
 
 
-def fixed_assignment(spark: SparkSession, sf: str) -> tuple[DataFrame, centers.CenterModel]:
-    """Valid lines assigned to the literal centres; features are written once and reused."""
-    rows = staged(features(spark, sf), "features")
-    model = fixed_model(spark, complete_rows(rows))
-    return model.assign(rows), model
+def staged_numbers(spark: SparkSession, sf: str, names: list[str] = fixed.FEATURES_8) -> DataFrame:
+    """Row keys and features of the valid lines, written once for the passes of a model."""
+    return staged(features(spark, sf).select("file_id", "line_number", *names), "features")
+
+
+def fixed_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Row keys and features assigned to the literal centres."""
+    rows = staged_numbers(spark, sf)
+    return fixed_model(spark, complete_rows(rows)).assign(rows)
 
 
 def stream_model(spark: SparkSession, sf: str) -> centers.CenterModel:
@@ -129,6 +133,7 @@ def stream_model(spark: SparkSession, sf: str) -> centers.CenterModel:
 
 
 def figured_assignment(spark: SparkSession, sf: str) -> tuple[DataFrame, centers.CenterModel]:
+    """Valid lines with all fields assigned to the literal centres, and the figures of the model."""
     rows = staged(features(spark, sf), "features")
     complete = complete_rows(rows)
     model = fixed_model(spark, complete).with_figures(complete)
@@ -590,7 +595,7 @@ def report_text(spark, sf):
 
 @query
 def scaled_features(spark, sf):
-    rows = staged(complete_rows(features(spark, sf)), "features")
+    rows = complete_rows(staged_numbers(spark, sf))
     model = fixed_model(spark, rows)
     return rows.select(
         "file_id",
@@ -604,12 +609,12 @@ _ASSIGNED = ["file_id", "line_number", "cluster", "distance_to_center"]
 
 @query
 def distance_fixed_centers(spark, sf):
-    return fixed_assignment(spark, sf)[0].select(*_ASSIGNED)
+    return fixed_assignment(spark, sf).select(*_ASSIGNED)
 
 
 @query
 def distance_stats_fixed_centers(spark, sf):
-    return centers.distance_stats(fixed_assignment(spark, sf)[0])
+    return centers.distance_stats(fixed_assignment(spark, sf))
 
 
 @query
@@ -622,7 +627,7 @@ def zscore_fixed_centers(spark, sf):
 
 @query
 def linear_score(spark, sf):
-    return centers.linear_scores(fixed_assignment(spark, sf)[0]).select(
+    return centers.linear_scores(fixed_assignment(spark, sf)).select(
         "file_id", "line_number", "anomaly_score"
     )
 
@@ -638,7 +643,8 @@ def enhanced_score(spark, sf):
 @query
 def enhanced_score_by_id(spark, sf):
     """Enhanced score with the cluster-id rule instead of the share rule."""
-    assigned, _ = fixed_assignment(spark, sf)
+    rows = features(spark, sf)
+    assigned = stream_model(spark, sf).assign(rows)
     return centers.enhanced_scores(assigned, centers.rare_cluster_by_id()).select(
         "file_id", "line_number", "anomaly_score"
     )
@@ -653,7 +659,7 @@ def trained_statistics(spark, sf):
 
 @query
 def kmeans_clusters(spark, sf):
-    rows = staged(features(spark, sf), "features")
+    rows = staged_numbers(spark, sf)
     _, model = kmeans.fit_kmeans(rows)
     return model.assign(rows).select(*_ASSIGNED)
 
@@ -661,7 +667,7 @@ def kmeans_clusters(spark, sf):
 @query
 def pipeline_agreement(spark, sf):
     """Rows whose cluster by column expressions differs from the fitted pipeline's."""
-    rows = staged(complete_rows(features(spark, sf)), "features")
+    rows = complete_rows(staged_numbers(spark, sf))
     pipeline, model = kmeans.fit_kmeans(rows)
     theirs = pipeline.transform(rows).withColumnRenamed("cluster", "pipeline_cluster")
     differs = F.col("cluster") != F.col("pipeline_cluster")
@@ -670,7 +676,7 @@ def pipeline_agreement(spark, sf):
 
 @query
 def isolation_score(spark, sf):
-    rows = staged(features(spark, sf), "features")
+    rows = staged_numbers(spark, sf, fixed.FEATURES_11)
     forest = iforest.fit_isolation_forest(rows, fixed.FEATURES_11, ["file_id", "line_number"])
     scored = staged(forest.score(rows).select("file_id", "line_number", "isolation_score"), "isolation")
     return iforest.contamination_flag(scored)
@@ -704,7 +710,7 @@ def ensemble_counts(spark, sf):
 @query
 def model_roundtrip(spark, sf):
     """Rows that a saved and loaded model scores differently from the trained one."""
-    rows = staged(features(spark, sf), "features")
+    rows = staged_numbers(spark, sf)
     pipeline, model = kmeans.fit_kmeans(rows)
     path = scratch_dir(spark, "model")
     models.save_model(spark, path, pipeline, model)
@@ -734,7 +740,7 @@ def analyze_ml(spark, sf):
 
 @query
 def analyze_trained(spark, sf):
-    rows = staged(features(spark, sf), "features")
+    rows = staged_numbers(spark, sf)
     _, model = kmeans.fit_kmeans(rows)
     return analyze.analyze_trained(log_lines(spark, sf), model).anomalies
 
