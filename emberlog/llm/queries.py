@@ -41,3 +41,5 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op3_substring_dedup, op6_decontaminate, op7_token_files)
 }
+
+ORACLES: dict[str, str] = {}
