@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import substrings, suffixes, tokenfiles
+from emberlog.llm import jaccard, substrings, suffixes, tokenfiles
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"), jaccard.Rule(width=3, percent=90))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substrings.repeated_spans(docs)
@@ -39,7 +43,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_substring_dedup, op6_decontaminate, op7_token_files)
+    f.__name__: f for f in (op1_ngram_jaccard, op3_substring_dedup, op6_decontaminate, op7_token_files)
 }
 
 ORACLES: dict[str, str] = {}

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from emberlog.llm.words import SPACED, chunks, covered, grouped, mix, runs, slot, windows
 
 WIDTH = 13
-RANGE_BYTES = 16 << 20  # text whose windows one range holds, on average
+RANGE_BYTES = 8 << 20  # text whose windows one range holds, on average
 LEAST_RANGES = 32
 NO_ID = (1 << 63) - 1
 _KEY, _HASHES = "__dedup_key", "__dedup_hashes"
