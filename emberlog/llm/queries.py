@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import jaccard, substrings, suffixes, tokenfiles
+from emberlog.llm import chat, jaccard, substrings, suffixes, tokenfiles
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -20,6 +22,28 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(_table(spark, sf_dir, "documents"), jaccard.Rule(width=3, percent=90))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], rows.schema)
+    out = chat.examples(rows.unionByName(more))
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return out.groupBy("conv_id").applyInPandas(_read_back, schema)
+
+
+def _read_back(rows: pd.DataFrame) -> pd.DataFrame:
+    """Digests of one conversation, from its formatted examples alone."""
+    rows = rows.sort_values("example")
+    turns = chat.read_turns(rows["text"].iloc[-1])
+    trained = "".join(chat.trained_text(rows))
+    whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    return pd.DataFrame({
+        "conv_id": rows["conv_id"].astype("Int64").to_numpy()[:1], "n_turns": [len(turns)], "turns_sha256": [digest(whole)],
+        "loss_chars": [len(trained)], "loss_sha256": [digest(trained)], "formatted_chars": [int(rows["text"].str.len().sum())],
+    })
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substrings.repeated_spans(docs)
@@ -43,7 +67,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op3_substring_dedup, op6_decontaminate, op7_token_files)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op6_decontaminate, op7_token_files)
 }
 
 ORACLES: dict[str, str] = {}

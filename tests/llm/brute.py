@@ -94,3 +94,15 @@ def classes(things, linked):
                 x, y = top(a), top(b)
                 parent[max(x, y)] = min(x, y)
     return {d: top(d) for d in ids}
+
+
+def chat(rows):
+    talks = {}
+    for conv, turn, role, text in rows:
+        talks.setdefault(conv, []).append((turn, role or "", text or ""))
+    out = {}
+    for conv, turns in talks.items():
+        turns.sort()
+        trained = "".join(t for _, r, t in turns if r == "assistant")
+        out[conv] = (len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(trained), sha(trained))
+    return out
