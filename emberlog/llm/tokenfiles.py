@@ -9,10 +9,10 @@ offset of a document is the base of its part plus its own. Readers memory-map lo
 files and read byte ranges of others.
 
 Texts are encoded piece by piece: each distinct piece of a chunk of texts goes to the
-tokenizer once, and a task keeps the pieces it has met in a table of bounded
-size. Encoded documents are dealt by ranges of document id and written in that
-order, so no task holds more than one range and a part is written again as a whole
-if its executor is lost.
+tokenizer once, and a worker keeps the pieces it has met in a table of bounded
+size. Encoded documents are dealt by ranges of document id (quantiles) and written in
+that order as they come, so no task holds a range in memory, and a part is written
+again as a whole if its executor is lost.
 
 Defined cases: null text is empty (its ids are the end id alone); null ids come
 first; rows with one id keep both, ordered by a checksum of their ids; an empty
@@ -36,34 +36,37 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.pieces import Pieces, split
 from emberlog.llm.words import strings
-from emberlog.sources.scratch import staged
 
 CHUNK_BYTES = 4 << 20
-KNOWN_PIECES = 400_000  # of a task
+KNOWN_PIECES = 600_000  # of a Python worker; then it starts anew
 PART_BYTES = 64 << 20
 NO_ID = -(1 << 63)
 
 
-def encoded(docs: DataFrame, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the ids of each whole text, packed; the end id last if there is one."""
+def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Write the ids of each whole text, and the end id if there is one, to ``path``, a folder that all executors share."""
     kind = _kind(vocabulary)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(partial(_encoded, vocabulary, end_id, kind), "doc_id long, n_tokens long, ids binary")
-
-
-def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the data set to ``path``, a folder that all executors share."""
-    rows = staged(encoded(docs, vocabulary, end_id, id_col, text_col).withColumn("check", F.crc32("ids")), "encoded")
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0]
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
-    ordered = rows.repartitionByRange(parts, "doc_id", "check").sortWithinPartitions("doc_id", "check", "ids")
-    found = ordered.select("doc_id", "ids").mapInArrow(partial(_written, path, _kind(vocabulary)), "place int, name string, n_docs long, n_tokens long").collect()
-    found.sort(key=lambda r: r.place)  # one row for each part
+    edges = _edges(rows, parts)
+    encoded = rows.mapInArrow(partial(_encoded, vocabulary, end_id, kind, edges), "part int, doc_id long, ids binary")
+    dealt = encoded.withColumn("check", F.crc32("ids")).repartition(parts, "part")
+    ordered = dealt.sortWithinPartitions("part", "doc_id", "check").select("part", "doc_id", "ids")
+    found = ordered.mapInArrow(partial(_written, path, kind), "part int, name string, n_docs long, n_tokens long").collect()
+    found.sort(key=lambda r: r.part)  # one row for each part
     bases = [0, *accumulate(r.n_tokens for r in found)]
-    manifest = {"dtype": _kind(vocabulary), "n_tokens": bases[-1], "parts": [{"name": r.name, "n_docs": r.n_docs, "n_tokens": r.n_tokens, "base": b} for r, b in zip(found, bases, strict=False)]}
+    manifest = {"dtype": kind, "n_tokens": bases[-1], "parts": [{"name": r.name, "n_docs": r.n_docs, "n_tokens": r.n_tokens, "base": b} for r, b in zip(found, bases, strict=False)]}
     _put(f"{path}/manifest.json", [json.dumps(manifest).encode()])
 
 
+def _edges(rows: DataFrame, parts: int) -> np.ndarray:
+    """Document ids at which a new part begins: quantiles, so that parts hold about as many documents."""
+    shares = [k / parts for k in range(1, parts)]
+    found = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * parts))).first()[0] if shares else None
+    return np.unique(np.array(found or [], np.int64))
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (packed as in the file), read from the files."""
     return _read(spark, path, _document_rows, "doc_id long, start long, n_tokens long, ids binary")
@@ -96,12 +99,12 @@ def _tokenizer(vocabulary: str):
 
 
 class _Known:
-    """Ids of the pieces a task has met, by the hash of the piece."""
+    """Ids of the pieces a Python worker has met, packed, by the hash of the piece."""
 
     def __init__(self, vocabulary: str, kind: str) -> None:
         self.tokenizer, self.kind, self.ids = _tokenizer(vocabulary), kind, {}
 
-    def lookup(self, pieces: Pieces, hashes: np.ndarray, firsts: np.ndarray) -> list[np.ndarray]:
+    def lookup(self, pieces: Pieces, hashes: np.ndarray, firsts: np.ndarray) -> list[bytes]:
         if len(self.ids) > KNOWN_PIECES:
             self.ids.clear()
         keys = hashes.tolist()
@@ -109,14 +112,20 @@ class _Known:
         if missing:
             texts = [pieces.text(int(firsts[k])) for k in missing]
             for k, e in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.ids[keys[k]] = np.array(e.ids, self.kind)
+                self.ids[keys[k]] = np.array(e.ids, self.kind).tobytes()
         return [self.ids[h] for h in keys]
 
 
-def _encoded(vocabulary: str, end_id: int | None, kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = _Known(vocabulary, kind)
+@lru_cache(1)
+def _known(vocabulary: str, kind: str) -> _Known:
+    return _Known(vocabulary, kind)
+
+
+def _encoded(vocabulary: str, end_id: int | None, kind: str, edges: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = _known(vocabulary, kind)
     for batch in batches:
         raw, at = strings(batch.column(1))
+        parts = np.searchsorted(edges, batch.column(0).fill_null(NO_ID).to_numpy(), side="right")
         start, n = 0, batch.num_rows
         while start < n:
             stop = min(n, max(start + 1, int(np.searchsorted(at, at[start] + CHUNK_BYTES, side="right")) - 1))
@@ -124,7 +133,8 @@ def _encoded(vocabulary: str, end_id: int | None, kind: str, batches: Iterator[p
             width = ids.dtype.itemsize
             offsets = np.concatenate([[0], np.cumsum(sizes) * width]).astype(np.int64)
             packed = pa.Array.from_buffers(pa.large_binary(), stop - start, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids.tobytes())])
-            yield pa.record_batch([batch.column(0).slice(start, stop - start), pa.array(sizes, pa.int64()), packed.cast(pa.binary())], names=["doc_id", "n_tokens", "ids"])
+            part = pa.array(parts[start:stop], pa.int32())
+            yield pa.record_batch([part, batch.column(0).slice(start, stop - start), packed.cast(pa.binary())], names=["part", "doc_id", "ids"])
             start = stop
 
 
@@ -135,10 +145,10 @@ def _ids(known: _Known, raw: np.ndarray, at: np.ndarray, end_id: int | None) ->
     distinct, firsts, which = np.unique(hashes, return_index=True, return_inverse=True)
     own = known.lookup(pieces, distinct, firsts)
     if end_id is not None:
-        own.append(np.array([end_id], known.kind))
+        own.append(np.array([end_id], known.kind).tobytes())
         which = np.insert(which, pieces.first[1:], len(own) - 1)
-    sizes = np.array([len(x) for x in own], np.int64)
-    flat = np.concatenate([*own, np.zeros(0, known.kind)])
+    sizes = np.array([len(x) for x in own], np.int64) // np.dtype(known.kind).itemsize
+    flat = np.frombuffer(b"".join(own), known.kind)
     begins = np.cumsum(sizes) - sizes
     count = sizes[which]
     upto = np.concatenate([[0], np.cumsum(count)])
@@ -148,25 +158,48 @@ def _ids(known: _Known, raw: np.ndarray, at: np.ndarray, end_id: int | None) ->
 
 
 def _written(path: str, kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    place = TaskContext.get().partitionId()
-    name = f"part-{place:06d}-{uuid.uuid4().hex[:8]}"  # a second attempt writes files of its own
-    ids, sizes, documents = [], [], []
-    fs, base = _store(f"{path}/{name}")
-    fs.create_dir(os.path.dirname(base), recursive=True)
-    with fs.open_output_stream(f"{base}.bin") as out:
-        for batch in batches:
-            column = batch.column(1)
-            for x in column:
-                blob = x.as_buffer()
-                out.write(blob)
-                sizes.append(blob.size // np.dtype(kind).itemsize)
-            documents.append(batch.column(0).fill_null(NO_ID).to_numpy())
-    offsets = np.concatenate([[0], np.cumsum(np.array(sizes, np.uint64))]).astype("<u8")
-    _put(f"{path}/{name}.idx", [offsets.tobytes()])
-    _put(f"{path}/{name}.doc", [np.concatenate([*documents, np.zeros(0, np.int64)]).astype("<i8").tobytes()])
-    yield pa.record_batch([pa.array([place], pa.int32()), pa.array([name]), pa.array([len(sizes)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())], names=["place", "name", "n_docs", "n_tokens"])
+    """Write the parts of a partition one after another; a part may run over several batches."""
+    open_part: _Part | None = None
+    for batch in batches:
+        parts = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if open_part and open_part.number != parts[a]:
+                yield open_part.close()
+                open_part = None
+            open_part = open_part or _Part(path, kind, int(parts[a]))
+            open_part.add(batch.slice(a, b - a))
+    if open_part:
+        yield open_part.close()
+
+
+class _Part:
+    def __init__(self, path: str, kind: str, number: int) -> None:
+        # a second attempt writes files of its own
+        self.number, self.name = number, f"part-{number:06d}-{uuid.uuid4().hex[:8]}"
+        self.path, self.width = f"{path}/{self.name}", np.dtype(kind).itemsize
+        fs, place = _store(self.path)
+        fs.create_dir(os.path.dirname(place), recursive=True)
+        self.out, self.sizes, self.documents = fs.open_output_stream(f"{place}.bin"), [0], []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for x in batch.column(2):
+            blob = x.as_buffer()
+            self.out.write(blob)
+            self.sizes.append(blob.size // self.width)
+        self.documents.append(batch.column(1).fill_null(NO_ID).to_numpy())
+
+    def close(self) -> pa.RecordBatch:
+        self.out.close()
+        offsets = np.cumsum(self.sizes).astype("<u8")
+        _put(f"{self.path}.idx", [offsets.tobytes()])
+        _put(f"{self.path}.doc", [np.concatenate(self.documents).astype("<i8").tobytes()])
+        return pa.record_batch(
+            [pa.array([self.number], pa.int32()), pa.array([self.name]), pa.array([len(offsets) - 1], pa.int64()), pa.array([int(offsets[-1])], pa.int64())],
+            names=["part", "name", "n_docs", "n_tokens"],
+        )
 
 
 def _opened(path: str, kind: str, rows, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
