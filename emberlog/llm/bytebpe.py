@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 1 << 16
+KNOWN_WORDS = 1 << 17
 SAMPLE_DOCS = 20_000
 _ABSENT = (1 << 31) - 1
 

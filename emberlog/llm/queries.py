@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import chat, jaccard, substrings, suffixes, tokenfiles
+from emberlog.llm import bytebpe, chat, jaccard, substrings, suffixes, tokenfiles
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -50,6 +50,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    tokenizer = bytebpe.Tokenizer.load(docs.sparkSession, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).learn(docs)
+    ids = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
+    return ids.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(tokenizer.packed(F.col("ids")), 256).alias("ids_sha256"), F.sha2(tokenizer.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffixes.with_matches(docs, _table(spark, sf_dir, "benchmark"))
@@ -67,7 +80,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op6_decontaminate, op7_token_files)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op5_byte_bpe, op6_decontaminate, op7_token_files)
 }
 
 ORACLES: dict[str, str] = {}

@@ -106,3 +106,11 @@ def chat(rows):
         trained = "".join(t for _, r, t in turns if r == "assistant")
         out[conv] = (len(turns), sha("".join(f"{r}\n{t}\n" for _, r, t in turns)), len(trained), sha(trained))
     return out
+
+
+def byte_bpe(docs, encoding):
+    out = {}
+    for doc, text in docs:
+        ids = encoding.encode_ordinary(text or "")
+        out[doc] = (len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha((text or "").encode()))
+    return out
