@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bytebpe, chat, jaccard, substrings, suffixes, tokenfiles
+from emberlog.llm import bytebpe, chat, jaccard, langid, substrings, suffixes, tokenfiles, toxicity
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -50,6 +50,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = langid.fit(docs.filter(remainder != 0), F.col("doc_id"))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", F.coalesce(remainder == 0, F.lit(True)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"),
+    )
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     tokenizer = bytebpe.Tokenizer.load(docs.sparkSession, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).learn(docs)
     ids = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
@@ -79,8 +90,22 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_checks(spark, path)
 
 
+def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` and an array column toxicity: probabilities of low quality, then of toxicity."""
+    known = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.predict(docs, toxicity.fit(docs, known, ["low_quality", "toxic"]))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxic_scores(docs, _table(spark, sf_dir, "labels"))
+    return out.select(
+        "doc_id", F.col("toxicity")[0].alias("low_quality_score"), F.col("toxicity")[1].alias("toxic_score"), (F.col("toxicity")[1] >= 0.5).alias("toxic"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op5_byte_bpe, op6_decontaminate, op7_token_files)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op9_toxicity)
 }
 
 ORACLES: dict[str, str] = {}

@@ -83,11 +83,19 @@ class Chunk:
         return np.repeat(np.arange(self.texts), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
+        """Hash of each word."""
+        return self.prefix_hashes([len(self.buf)])[0]
+
+    def prefix_hashes(self, lengths: list[int]) -> list[np.ndarray]:
+        """Hashes of the first bytes of each word, for several lengths; shorter words count whole."""
         up, down = _bytes_powers.upto(len(self.buf) + 1)
         sums = np.zeros(len(self.buf) + 1, np.uint64)
         np.cumsum(_BYTE_CODES[self.buf] * up[:-1], out=sums[1:])
-        raw = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        return mix(raw + (self.ends - self.starts).astype(np.uint64))
+        out = []
+        for length in lengths:
+            ends = np.minimum(self.ends, self.starts + length)
+            out.append(mix((sums[ends] - sums[self.starts]) * down[self.starts] + (ends - self.starts).astype(np.uint64)))
+        return out
 
 
 def strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
