@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bytebpe, chat, jaccard, langid, substrings, suffixes, tokenfiles, toxicity
+from emberlog.llm import bytebpe, chat, jaccard, langid, pstable, substrings, suffixes, tokenfiles, toxicity
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -90,6 +90,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_checks(spark, path)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` and an array column toxicity: probabilities of low quality, then of toxicity."""
     known = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
@@ -105,7 +109,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op9_toxicity)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op8_embedding_dedup, op9_toxicity)
 }
 
 ORACLES: dict[str, str] = {}

@@ -38,7 +38,7 @@ from emberlog.llm.pieces import Pieces, split
 from emberlog.llm.words import strings
 
 CHUNK_BYTES = 4 << 20
-KNOWN_PIECES = 600_000  # of a Python worker; then it starts anew
+KNOWN_PIECES = 400_000  # of a Python worker; then it starts anew
 PART_BYTES = 64 << 20
 NO_ID = -(1 << 63)
 

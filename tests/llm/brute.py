@@ -114,3 +114,29 @@ def byte_bpe(docs, encoding):
         ids = encoding.encode_ordinary(text or "")
         out[doc] = (len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha((text or "").encode()))
     return out
+
+
+def vector_links(rows, cosine=0.9):
+    import numpy as np
+
+    out, good, ids = {}, [], []
+    for i, v in rows:
+        v = np.array(v if v is not None else [], float)
+        if len(v) and np.isfinite(v).all() and v.any():
+            ids.append(i)
+            good.append(v / np.linalg.norm(v))
+        else:
+            out[i] = (0, i, True)
+    links = np.stack(good) @ np.stack(good).T >= cosine if good else np.zeros((0, 0), bool)
+    near = {i: {ids[j] for j in np.flatnonzero(links[k])} - {i} for k, i in enumerate(ids)}
+    part = classes(near, lambda a, b: False)
+    for i in sorted(near):  # smallest id reachable
+        if part[i] == i:
+            todo = [i]
+            while todo:
+                x = todo.pop()
+                for y in near[x]:
+                    if part[y] > part[i]:
+                        part[y] = part[i]
+                        todo.append(y)
+    return out | {i: (len(near[i]), part[i], part[i] == i) for i in ids}
