@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bytebpe, chat, jaccard, langid, pstable, substrings, suffixes, tokenfiles, toxicity
+from emberlog.llm import bytebpe, chat, jaccard, langid, maintext, pstable, substrings, suffixes, tokenfiles, toxicity
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -108,8 +108,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = maintext.main_text(pages, maintext.fit(pages))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op8_embedding_dedup, op9_toxicity)
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op8_embedding_dedup, op9_toxicity, op10_html_text,
+    )
 }
 
 ORACLES: dict[str, str] = {}
