@@ -20,7 +20,7 @@ ORACLE_SQL: str | None = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity, the last link of the chain, stays below one half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return queries.toxic_scores(docs, labels).filter(F.element_at("toxicity", -1) < 0.5).select(docs.columns)
+    return queries.toxic_scores(docs, labels, "__toxicity").filter(F.element_at("__toxicity", -1) < 0.5).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

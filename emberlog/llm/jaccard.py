@@ -15,9 +15,9 @@ centre, block against block, and only where their components differ. So every
 link either joins two components or lies inside one, and none is lost.
 
 Defined cases: null or blank text is an empty set, linked with nothing; a text of
-fewer words than a shingle is one shingle; null ids are never a component's
-smallest id unless all are null; rows with one id are compared as separate rows;
-tables may be empty and hold further columns.
+fewer words than a shingle is one shingle; rows with a null id take
+part in no link and have no component; rows with one id are compared as separate
+rows; tables may be empty and hold further columns.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def jaccard_classes(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     """doc_id, n_shingles and component_id (smallest doc_id reachable) of every row."""
     sets, links = _joined(docs, rule, id_col, text_col)
     parts = components(links)
-    least = sets.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
+    least = sets.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     named = least.join(parts, least.sid == parts.id, "left").select("sid", "rep", F.coalesce("component", "sid").alias("part"))
     roots = named.groupBy("part").agg(F.min("rep").alias("root"))
     found = named.join(roots, "part").select("sid", "root")
@@ -103,14 +103,15 @@ def _joined(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[Da
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     ranges = max(LEAST_RANGES, -(-size // RANGE_BYTES))
-    sets = staged(rows.mapInArrow(partial(_sets, rule), "doc_id long, n_shingles long, sid long"), "sets")
-    segments = rows.select("text").mapInArrow(partial(_segments, rule, ranges), "range int, sets binary, segments binary")
+    sets = rows.mapInArrow(partial(_sets, rule), "doc_id long, n_shingles long, sid long")
+    sets = staged(sets.withColumn("sid", F.when(F.col("doc_id").isNotNull(), F.col("sid"))), "sets")
+    segments = rows.filter("doc_id is not null").select("text").mapInArrow(partial(_segments, rule, ranges), "range int, sets binary, segments binary")
     found = staged(segments.groupBy("range").applyInArrow(grouped(_shared), "a long, b long, level int, n_a int, n_b int, none int, equal int, many boolean"), "shared")
     star = found.filter("many").select(F.col("a").alias("centre"), F.col("b").alias("sid"), "level").distinct()
     star = staged(star, "stars")
     pairs = staged(_enough(found, rule), "pairs")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(star.select("centre")).union(star.select("sid")).distinct()
-    reps = sets.filter("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sid")
+    reps = sets.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sid")
     hashes = staged(rows.join(reps, "doc_id").select("sid", "text").mapInArrow(partial(_hash_sets, rule), "sid long, hashes binary").dropDuplicates(["sid"]), "hashes")
     first = staged(_compared(pairs, hashes, rule), "links")
     return sets, first.union(staged(_rest(star, first, hashes, rule), "links"))

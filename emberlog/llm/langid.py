@@ -74,7 +74,8 @@ def fit(docs: DataFrame, key: Column, lang_col: str = "lang", text_col: str = "t
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` and a struct column ``language``: lang, score (0 to 1), rejected."""
+    """``docs`` and a struct column ``language`` (it replaces one of that name): lang, score (0 to 1), rejected."""
+    docs = docs.drop("language")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # centroids only
     schema = docs.withColumn("language", F.lit(None).cast("struct<lang:string,score:double,rejected:boolean>")).schema
     return docs.mapInArrow(partial(_predicted, docs.columns.index(text_col), shared), schema)

@@ -105,7 +105,8 @@ def _normal(x: np.ndarray, axis) -> np.ndarray:
 
 
 def main_text(pages: DataFrame, model: Model, html_col: str = "html") -> DataFrame:
-    """``pages`` and a string column ``main_text``."""
+    """``pages`` and a string column ``main_text``, which replaces one of that name."""
+    pages = pages.drop("main_text")
     shared = pages.sparkSession.sparkContext.broadcast(model)  # a few hundred weights
     schema = pages.withColumn("main_text", F.lit(None).cast("string")).schema
     return pages.mapInArrow(partial(_extracted, pages.columns.index(html_col), shared), schema)

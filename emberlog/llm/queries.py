@@ -94,10 +94,10 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
-def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` and an array column toxicity: probabilities of low quality, then of toxicity."""
+def toxic_scores(docs: DataFrame, labels: DataFrame, column: str = "toxicity") -> DataFrame:
+    """``docs`` and an array column: probabilities of low quality, then of toxicity."""
     known = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
-    return toxicity.predict(docs, toxicity.fit(docs, known, ["low_quality", "toxic"]))
+    return toxicity.predict(docs, toxicity.fit(docs, known, ["low_quality", "toxic"]), column=column)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,13 +34,13 @@ NO_ID = (1 << 63) - 1
 _KEY, _HASHES = "__dedup_key", "__dedup_hashes"
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``docs`` and a struct column ``repeats``.
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, column: str = "repeats") -> DataFrame:
+    """``docs`` and a struct column, which replaces one of its name.
 
     Its fields: n_words, n_removed, spans (array of start and end word, end
     exclusive, maximal and in order) and kept (the kept words joined by one space).
     """
-    return _applied(docs, id_col, text_col, width, partial(_described, width))
+    return _applied(docs, id_col, text_col, width, column)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -48,12 +48,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Every row stays; a text that repeats as a whole becomes empty.
     """
-    out = repeated_spans(docs, id_col, text_col, width)
-    text = F.when(F.col("repeats.n_removed") > 0, F.col("repeats.kept")).otherwise(F.col(text_col))
+    out = repeated_spans(docs, id_col, text_col, width, "__repeats")
+    text = F.when(F.col("__repeats.n_removed") > 0, F.col("__repeats.kept")).otherwise(F.col(text_col))
     return out.withColumn(text_col, text).select(docs.columns)
 
 
-def _applied(docs: DataFrame, id_col: str, text_col: str, width: int, describe) -> DataFrame:
+def _applied(docs: DataFrame, id_col: str, text_col: str, width: int, column: str) -> DataFrame:
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     ranges = max(LEAST_RANGES, -(-size // RANGE_BYTES))
@@ -63,9 +63,9 @@ def _applied(docs: DataFrame, id_col: str, text_col: str, width: int, describe)
     answers = sent.groupBy("range").applyInArrow(grouped(_answers, ranges), "part int, ids binary, hashes binary")
     marks = answers.groupBy("part").applyInArrow(grouped(_by_document), f"{_KEY} long, {_HASHES} binary")
     joined = docs.withColumn(_KEY, key).join(marks, _KEY, "left")
-    columns = docs.columns
-    schema = docs.withColumn("repeats", F.lit(None).cast("struct<n_words:bigint,n_removed:bigint,spans:array<struct<start:int,end:int>>,kept:string>")).schema
-    return joined.select(*columns, _HASHES).mapInArrow(partial(describe, columns, text_col), schema)
+    columns = [c for c in docs.columns if c != column]
+    schema = docs.select(columns).withColumn(column, F.lit(None).cast("struct<n_words:bigint,n_removed:bigint,spans:array<struct<start:int,end:int>>,kept:string>")).schema
+    return joined.select(*columns, _HASHES).mapInArrow(partial(_described, width, columns, text_col, column), schema)
 
 
 def _parcels(ids: np.ndarray, hashes: np.ndarray, slots: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
@@ -136,7 +136,7 @@ def _grouped(ids: np.ndarray, hashes: np.ndarray) -> tuple[list[int], list[bytes
     return ids[firsts].tolist(), [hashes[a:b].tobytes() for a, b in zip(firsts, lasts, strict=True)]
 
 
-def _described(width: int, columns: list[str], text_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _described(width: int, columns: list[str], text_col: str, column: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     place = columns.index(text_col)
     for batch in batches:
         texts, marks = batch.column(place), batch.column(len(columns))
@@ -151,7 +151,7 @@ def _described(width: int, columns: list[str], text_col: str, batches: Iterator[
                 spans = [{"start": int(x), "end": int(y)} for x, y in zip(a, b, strict=True)]
                 out.append({"n_words": len(words), "n_removed": int(flags.sum()), "spans": spans, "kept": kept.decode()})
         kind = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept", pa.string())])
-        yield pa.record_batch([*batch.columns[: len(columns)], pa.array(out, kind)], names=[*columns, "repeats"])
+        yield pa.record_batch([*batch.columns[: len(columns)], pa.array(out, kind)], names=[*columns, column])
 
 
 def _removed(chunk, marks: pa.Array, width: int) -> np.ndarray:

@@ -14,7 +14,7 @@ least a twentieth of its words.
 
 Defined cases: null text has no words; items without words or without an id are
 left out; items that share an id count once; empty tables give no matches;
-further columns pass through. Rows and ties need no order.
+further columns pass through, whatever their names. Rows and ties need no order.
 """
 
 from __future__ import annotations
@@ -68,31 +68,34 @@ class Items:
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``docs`` and the columns n_words, n_hit, matches, contaminated (names that docs must not have).
+    """``docs`` and the columns n_words, n_hit, matches, contaminated, which replace columns of these names.
 
     ``matches`` holds the longest verbatim matches: item, word number in it, word
     number in the document, length in words.
     """
-    taken = {"n_words", "n_hit", "matches", "contaminated"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"rename {sorted(taken)} first")
+    out = _searched_all(docs, benchmark, text_col, item_col, item_text_col, width)
+    own = ["n_words", "n_hit", "matches", "contaminated"]
+    return out.select(*[c for c in docs.columns if c not in own], *[F.col(f"__{c}").alias(c) for c in own])
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` that are not contaminated."""
+    return _searched_all(docs, benchmark, text_col, "item_id", "text", WIDTH).filter("not __contaminated").select(docs.columns)
+
+
+def _searched_all(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, width: int) -> DataFrame:
     spark, columns = docs.sparkSession, docs.columns
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).filter("id is not null and text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_BYTES))
-    out = docs.withColumn("n_words", F.lit(0).cast("long")).withColumn("n_hit", F.lit(0).cast("long")).withColumn("matches", F.array().cast(_MATCHES))
+    out = docs.withColumn("__n_words", F.lit(0).cast("long")).withColumn("__n_hit", F.lit(0).cast("long")).withColumn("__matches", F.array().cast(_MATCHES))
     schema = out.schema
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()  # about BLOCK_BYTES
         block = spark.sparkContext.broadcast(Items([r[0] for r in rows], [r[1] for r in rows], width))
         out = out.mapInArrow(partial(_searched, columns.index(text_col), block), schema)
-    hit = F.col("n_hit")
-    return out.withColumn("contaminated", (hit > 0) & (hit * SHARE >= F.col("n_words")))
-
-
-def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows and columns of ``docs`` that are not contaminated."""
-    return with_matches(docs, benchmark, text_col).filter("not contaminated").select(docs.columns)
+    hit = F.col("__n_hit")
+    return out.withColumn("__contaminated", (hit > 0) & (hit * SHARE >= F.col("__n_words")))
 
 
 def suffix_array(words: np.ndarray) -> np.ndarray:

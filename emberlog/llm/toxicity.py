@@ -68,7 +68,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
 
 
 def predict(docs: DataFrame, chain: Chain, text_col: str = "text", column: str = "toxicity") -> DataFrame:
-    """``docs`` and an array column with the probability of each category, in the order of the chain."""
+    """``docs`` and an array column (it replaces one of that name): the probability of each category, in the order of the chain."""
+    docs = docs.drop(column)
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # FEATURES weights for each category
     schema = docs.withColumn(column, F.lit(None).cast("array<double>")).schema
     return docs.mapInArrow(partial(_predicted, docs.columns.index(text_col), shared), schema)

@@ -21,7 +21,8 @@ def alnum(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
 
 
-def substring_dedup(docs, width=13):
+def substring_dedup(docs, width=13, texts=False):
+    """Digests, or the texts as the pipeline keeps them."""
     least = {}
     for doc, text in docs:
         w = spaced(text)
@@ -35,7 +36,8 @@ def substring_dedup(docs, width=13):
         for i in range(len(w) - width + 1):
             if least[tuple(w[i : i + width])] < doc:
                 gone.update(range(i, i + width))
-        out[doc] = (len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out[doc] = (kept if gone else text) if texts else (len(w), len(gone), sha(kept))
     return out
 
 
@@ -140,3 +142,14 @@ def vector_links(rows, cosine=0.9):
                         part[y] = part[i]
                         todo.append(y)
     return out | {i: (len(near[i]), part[i], part[i] == i) for i in ids}
+
+
+def article_text(page):
+    """Main text of the generated pages, whose article is marked up and holds nothing else."""
+    import html
+
+    inside = re.search(r"<article>(.*?)(</article>|$)", page or "", re.DOTALL)
+    if not inside:
+        return ""
+    text = re.sub(r"<[^>]+>", "", re.sub(r"</?(p|br|h1)>", " ", inside[1]))
+    return " ".join(html.unescape(text).split())
