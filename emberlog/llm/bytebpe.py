@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 1 << 17
+KNOWN_WORDS = 1 << 16
 SAMPLE_DOCS = 20_000
 _ABSENT = (1 << 31) - 1
 
@@ -140,13 +140,14 @@ def _let(value: Column, use) -> Column:
 
 def _map_literal(spark: SparkSession, rows: list[tuple], kind: str) -> tuple[Column, int]:
     """A constant array of maps, each holding the keys whose hash gives its place."""
-    size = 1 << max(4, (len(rows) - 1).bit_length() + 1)
+    size = 1 << max(4, (len(rows) - 1).bit_length())
     keys = spark.createDataFrame([(k,) for k, _ in rows], "key string")
     places = [r[0] for r in keys.select(_place(F.col("key"), size)).collect()]
-    maps: list[dict] = [{} for _ in range(size)]
+    maps = ["{}"] * size
     for (key, value), place in zip(rows, places, strict=True):
-        maps[place][key] = value
-    return F.from_json(F.lit(json.dumps(maps)), f"array<map<string,{kind}>>"), size
+        entry = f"{json.dumps(key)}:{json.dumps(value, separators=(',', ':'))}"
+        maps[place] = f"{{{entry}}}" if maps[place] == "{}" else f"{maps[place][:-1]},{entry}}}"
+    return F.from_json(F.lit(f"[{','.join(maps)}]"), f"array<map<string,{kind}>>"), size
 
 
 def _place(key: Column, size: int) -> Column:

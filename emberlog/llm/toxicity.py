@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.words import ALNUM, Chunk, chunks
 
-FIT_DOCS = 3000
-FEATURES = 2000
+FIT_DOCS = 2000
+FEATURES = 1000
 FOLDS = 4
 STEPS = 150
 PENALTY = 1e-3
@@ -114,12 +114,12 @@ def _fitted(categories: list[str], rows: list[np.ndarray], labels: np.ndarray) -
         for f in range(FOLDS):
             seen = fold != f
             used = _telling(number, owner, y, seen, len(known))
-            x = np.c_[_matrix(number, owner, used, len(rows), len(known)), earlier, np.ones(len(rows))]
-            outside[~seen] = _sigmoid(x[~seen] @ _regression(x[seen], y[seen]))
+            x = _matrix(number, owner, used, len(rows), len(known), earlier)
+            outside[~seen] = _sigmoid(x @ _regression(x, y, seen))[~seen]
         used = _telling(number, owner, y, np.ones(len(rows), bool), len(known))
-        x = np.c_[_matrix(number, owner, used, len(rows), len(known)), earlier, np.ones(len(rows))]
+        x = _matrix(number, owner, used, len(rows), len(known), earlier)
         chain.features.append(known[used])
-        chain.weights.append(_regression(x, y))
+        chain.weights.append(_regression(x, y, np.ones(len(rows), bool)))
         earlier = np.c_[earlier, outside]
     return chain
 
@@ -137,12 +137,15 @@ def _telling(number: np.ndarray, owner: np.ndarray, y: np.ndarray, seen: np.ndar
     return np.sort(best[score[best] > 0])
 
 
-def _matrix(number: np.ndarray, owner: np.ndarray, used: np.ndarray, rows: int, n: int) -> np.ndarray:
+def _matrix(number: np.ndarray, owner: np.ndarray, used: np.ndarray, rows: int, n: int, earlier: np.ndarray) -> np.ndarray:
+    """Used features, probabilities of earlier categories and a constant, by row."""
     column = np.full(n, -1)
     column[used] = np.arange(len(used))
     has = column[number] >= 0
-    out = np.zeros((rows, len(used)), np.float32)
+    out = np.zeros((rows, len(used) + earlier.shape[1] + 1), np.float32)
     out[owner[has], column[number[has]]] = 1
+    out[:, len(used) : -1] = earlier
+    out[:, -1] = 1
     return out
 
 
@@ -150,10 +153,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def _regression(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression with an L2 penalty (not on the constant), by accelerated gradient steps."""
-    n, d = x.shape
-    probe = np.ones(d) / np.sqrt(d)
+def _regression(x: np.ndarray, y: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Logistic regression on the seen rows with an L2 penalty (not on the constant), by accelerated gradient steps."""
+    n, d = int(seen.sum()), x.shape[1]
+    probe = np.ones(d, np.float32) / np.sqrt(d)
     for _ in range(12):  # largest curvature, by power iteration
         probe = x.T @ (x @ probe)
         size = np.linalg.norm(probe)
@@ -163,7 +166,8 @@ def _regression(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     penalty[-1] = 0
     w, ahead, t = np.zeros(d), np.zeros(d), 1.0
     for _ in range(STEPS):
-        new = ahead - rate * (x.T @ (_sigmoid(x @ ahead) - y) / n + penalty * ahead)
+        error = np.where(seen, _sigmoid(x @ ahead.astype(np.float32)) - y, 0).astype(np.float32)
+        new = ahead - rate * (x.T @ error / n + penalty * ahead)
         t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         ahead, w = new + (before - 1) / t * (new - w), new
     return w
