@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import jaccard, queries, substrings, suffixes
+from emberlog.llm import jaccard, queries, substrings, suffixes, toxicity
 from emberlog.sources.scratch import staged
 
 #: DuckDB SQL cannot express the models and digests; tests/llm compares with plain restatements.
@@ -18,9 +18,9 @@ ORACLE_SQL: str | None = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity, the last link of the chain, stays below one half."""
+    """Documents whose toxicity, the last link of the chain, stays below the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return queries.toxic_scores(docs, labels, "__toxicity").filter(F.element_at("__toxicity", -1) < 0.5).select(docs.columns)
+    return queries.toxic_scores(docs, labels, "__toxicity").filter(F.element_at("__toxicity", -1) < toxicity.THRESHOLD).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

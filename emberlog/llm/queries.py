@@ -104,7 +104,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxic_scores(docs, _table(spark, sf_dir, "labels"))
     return out.select(
-        "doc_id", F.col("toxicity")[0].alias("low_quality_score"), F.col("toxicity")[1].alias("toxic_score"), (F.col("toxicity")[1] >= 0.5).alias("toxic"),
+        "doc_id", F.col("toxicity")[0].alias("low_quality_score"), F.col("toxicity")[1].alias("toxic_score"), (F.col("toxicity")[1] >= toxicity.THRESHOLD).alias("toxic"),
     )
 
 

@@ -37,6 +37,7 @@ FEATURES = 1000
 FOLDS = 4
 STEPS = 150
 PENALTY = 1e-3
+THRESHOLD = 0.3  # of the last category, from which a text counts as toxic; clean texts stay far below
 PREFIXES = [4, 5, 6]
 _TABLE_BITS = 20
 
