@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import columns as C
-from emberlog.functions import fixed
 
 # ------------------------------------------------------------- over log rows
 
@@ -161,9 +160,8 @@ def timeline_hour(anomalies: DataFrame) -> DataFrame:
 
 
 def error_pattern() -> Column:
-    """Head of the message of an ERROR row, NULL for other levels."""
-    head = F.substring("message", 1, fixed.ERROR_PATTERN_CHARS)
-    return F.when(F.col("level") == "ERROR", head)
+    """Message of an ERROR row, NULL for other levels."""
+    return F.when(F.col("level") == "ERROR", F.col("message"))
 
 
 def error_patterns(anomalies: DataFrame) -> DataFrame:

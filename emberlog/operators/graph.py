@@ -280,20 +280,27 @@ def skipped_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def graph_json(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """One JSON document with the first nodes and the heaviest links, ``value STRING``.
+def graph_lines(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """The whole graph as JSON rows: ``kind`` (node or link) and ``value``."""
+    nodes = export_nodes(vertices)
+    links = export_links(nodes, edges)
+    as_rows = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*df.columns)).alias("value"))
+    return as_rows(nodes, "node").unionByName(as_rows(links, "link"))
+
 
-    The two limits belong to the export format; both lists are ordered, so the
-    document is the same on every run.
+def graph_json(vertices: DataFrame, edges: DataFrame, max_nodes: int, max_links: int) -> DataFrame:
+    """A preview of the graph as one JSON document, ``value STRING``.
+
+    It holds the first nodes by id and the heaviest links between them, as many as the
+    caller asks for, and says how many it leaves out.  The whole graph is
+    :func:`graph_lines`; a graph of any size does not fit one document.
     """
     nodes = export_nodes(vertices)
     links = export_links(nodes, edges)
-    first_nodes = nodes.orderBy("id", "type").limit(fixed.GRAPH_EXPORT_NODES)
-    top_links = links.orderBy(F.desc("value"), "source", "target").limit(fixed.GRAPH_EXPORT_LINKS)
-    node_list = first_nodes.agg(
-        F.array_sort(F.collect_list(F.struct("id", "type", "label"))).alias("nodes")
-    )
-    link_list = top_links.agg(
+    shown = nodes.orderBy("id", "type").limit(max_nodes)
+    inside = export_links(shown, edges).orderBy(F.desc("value"), "source", "target").limit(max_links)
+    node_list = shown.agg(F.array_sort(F.collect_list(F.struct("id", "type", "label"))).alias("nodes"))
+    link_list = inside.agg(
         F.transform(
             F.array_sort(
                 F.collect_list(F.struct((-F.col("value")).alias("order"), "source", "target", "value"))
@@ -301,6 +308,13 @@ def graph_json(vertices: DataFrame, edges: DataFrame) -> DataFrame:
             lambda e: F.struct(e["source"].alias("source"), e["target"].alias("target"), e["value"].alias("value")),
         ).alias("links")
     )
-    return node_list.select(
-        F.to_json(F.struct("nodes", link_list.scalar().alias("links"))).alias("value")
+    count = lambda df: df.agg(F.count("*")).scalar()
+    return node_list.select("nodes", link_list.scalar().alias("links")).select(
+        F.to_json(
+            F.struct(
+                "nodes", "links",
+                (count(nodes) - F.size("nodes")).alias("nodes_left_out"),
+                (count(links) - F.size("links")).alias("links_left_out"),
+            )
+        ).alias("value")
     )

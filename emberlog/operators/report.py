@@ -199,7 +199,7 @@ def _anomaly_rows(anomalies: DataFrame) -> DataFrame:
             "Timestamp": _stamp(),
             "Service": _known("service"),
             "Log Level": _known("level"),
-            "Message": _known(F.substring("message", 1, fixed.ALERT_MESSAGE_CHARS)),
+            "Message": _known("message"),
             "Source IP": _known("ip_address"),
             "Anomaly Score": F.format_string("%.4f", "anomaly_score"),
             "Severity": C.severity(),

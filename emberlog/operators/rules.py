@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import columns as C
-from emberlog.functions import fixed
 from emberlog.functions.params import Thresholds
 
 RECORD_COLUMNS = [
@@ -59,8 +58,7 @@ def alerts(anomalies: DataFrame, thresholds: Thresholds = Thresholds()) -> DataF
     """
     label = F.upper(C.severity())
     headline = F.concat(
-        label, F.lit(" anomaly in "), F.col("service"), F.lit(": "),
-        F.substring("message", 1, fixed.ALERT_MESSAGE_CHARS),
+        label, F.lit(" anomaly in "), F.col("service"), F.lit(": "), F.col("message"),
     )
     return anomalies.filter(F.col("anomaly_score") >= thresholds.alert).select(
         F.concat_ws("_", F.lit("alert"), "file_id", F.col("line_number").cast("string")).alias("id"),

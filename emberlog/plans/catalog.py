@@ -468,11 +468,23 @@ def skipped_links(spark, sf):
 
 @query
 def graph_json(spark, sf):
-    """The exported document, written, read back and unfolded into rows."""
+    """The exported graph, written and read back."""
     path = scratch_dir(spark, "graph")
     graphs.export_graph(*_whole_graph(spark, sf), path)
+    lines = spark.read.schema("value string, kind string").text(path)
+    schema = "id string, type string, source string, target string, value bigint"
+    rows = lines.select("kind", F.from_json("value", schema).alias("g"))
+    return rows.select(
+        "kind", F.coalesce("g.id", "g.source").alias("a"), F.coalesce("g.type", "g.target").alias("b"),
+        F.col("g.value").alias("weight"),
+    )
+
+
+@query
+def graph_preview(spark, sf):
+    """First nodes and heaviest links between them, unfolded into rows."""
     schema = "nodes array<struct<id string, type string, label string>>, links array<struct<source string, target string, value bigint>>"
-    doc = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("g"))
+    doc = graph.graph_json(*_whole_graph(spark, sf), max_nodes=150, max_links=300).select(F.from_json("value", schema).alias("g"))
     nodes = doc.select(F.posexplode("g.nodes").alias("place", "n")).select(
         F.lit("node").alias("kind"), "place", F.col("n.id").alias("a"), F.col("n.type").alias("b"),
         F.lit(None).cast("bigint").alias("weight"),
@@ -841,13 +853,13 @@ def stream_statistics(spark, sf):
 
 @query
 def stream_graph(spark, sf):
-    """Weights of the graph document that the streaming job refreshed last."""
+    """Weights of the graph that the streaming job refreshed last."""
     model = stream_model(spark, sf)
     sink, checkpoint = scratch_dir(spark, "sink"), scratch_dir(spark, "checkpoint")
     lines = textlogs.stream_lines(spark, _time_ordered_files(spark, sf), max_files=1)
     detect.start_detection(lines, model, sink, checkpoint, interval=None, graph_every=1).awaitTermination()
-    links = "links array<struct<source string, target string, value bigint>>"
-    return detect.latest_graph(spark, sink).select(F.inline(F.from_json("value", links)["links"]))
+    links = detect.latest_graph(spark, sink).filter("kind = 'link'")
+    return links.select(F.from_json("value", "source string, target string, value bigint").alias("l")).select("l.*")
 
 
 def _streamed_windows(spark, sf, *frame: str) -> DataFrame:

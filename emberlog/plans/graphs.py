@@ -1,19 +1,12 @@
-"""Graph documents: build, score and export."""
+"""Graphs: build, score and export."""
 
 from __future__ import annotations
 
-import logging
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from emberlog.operators import graph
 from emberlog.sources.scratch import staged
 
-EMPTY_GRAPH = '{"nodes":[],"links":[]}'
-
-_log = logging.getLogger(__name__)
-
 
 def build_graph(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges; the edges are written once and everything else reads them."""
@@ -33,16 +26,9 @@ def anomalous_patterns(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, D
     return ips, graph.targeted_services(graph.suspicious_connections(edges, ips))
 
 
-def export_graph(vertices: DataFrame, edges: DataFrame, path: str) -> bool:
-    """Write the graph document; readers find an empty graph if it cannot be built."""
-    try:
-        graph.graph_json(vertices, edges).write.mode("overwrite").text(path)
-        return True
-    except Exception:
-        _log.exception("graph export failed, writing an empty graph")
-        empty_graph(vertices.sparkSession).write.mode("overwrite").text(path)
-        return False
-
+def export_graph(vertices: DataFrame, edges: DataFrame, path: str) -> None:
+    """Write the whole graph as JSON lines, one folder for nodes and one for links.
 
-def empty_graph(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.lit(EMPTY_GRAPH).alias("value"))
+    A failure is raised; what an earlier export wrote elsewhere stays readable.
+    """
+    graph.graph_lines(vertices, edges).write.mode("overwrite").partitionBy("kind").text(path)

@@ -66,7 +66,7 @@ _CTES: list[tuple[str, str]] = [
         "alert_rows",
         """select 'alert_' || file_id || '_' || line_number as id, upper(severity) as severity,
   case severity when 'critical' then 1 when 'high' then 2 else 3 end as priority,
-  upper(severity) || ' anomaly in ' || service || ': ' || left(message, 100) as message,
+  upper(severity) || ' anomaly in ' || service || ': ' || message as message,
   service, ip_address, timestamp, anomaly_score, line_number, file_id,
   level, "user", response_time, 'pattern_spark' as analysis_type
  from anomalies where anomaly_score >= 0.5::double""",
@@ -222,7 +222,7 @@ _STATS = """count(*) as total_logs, count(*) filter (anomaly_score >= 0.4::doubl
   count(*) filter (level = 'ERROR') as error_logs,
   count(distinct service) filter (anomaly_score >= 0.4::double and service <> '') as services_count,
   count(distinct ip_address) filter (anomaly_score >= 0.4::double and ip_address <> '') as suspicious_ips_count,
-  count(distinct left(message, 50)) filter (anomaly_score >= 0.4::double and level = 'ERROR') as error_patterns_count"""
+  count(distinct message) filter (anomaly_score >= 0.4::double and level = 'ERROR') as error_patterns_count"""
 
 
 def _sql(body: str) -> str:
@@ -343,7 +343,7 @@ _REPORT_PARTS = [
             ("Timestamp", _STAMP),
             ("Service", "coalesce(nullif(service, ''), 'N/A')"),
             ("Log Level", "coalesce(nullif(level, ''), 'N/A')"),
-            ("Message", "coalesce(nullif(left(message, 100), ''), 'N/A')"),
+            ("Message", "coalesce(nullif(message, ''), 'N/A')"),
             ("Source IP", "coalesce(nullif(ip_address, ''), 'N/A')"),
             ("Anomaly Score", "printf('%.4f', anomaly_score)"),
             ("Severity", "severity"),
@@ -394,11 +394,15 @@ _DESCRIBE = " union all ".join(
     ]
 ).replace("'\"user\"'", "'user'")
 
-_GRAPH_DOC = """select 'node' as kind, (row_number() over (order by id, type) - 1)::int as place, id as a, type as b, null::bigint as weight
+_GRAPH_ROWS = """select 'node' as kind, id as a, type as b, null::bigint as weight from named_nodes
+ union all select 'link', source, target, value from links"""
+
+_SHOWN = "(select id from named_nodes order by id, type limit 150)"
+_GRAPH_PREVIEW = f"""select 'node' as kind, (row_number() over (order by id, type) - 1)::int as place, id as a, type as b, null::bigint as weight
  from named_nodes qualify place < 150
  union all
  select 'link', (row_number() over (order by value desc, source, target) - 1)::int as place, source, target, value
- from links qualify place < 300"""
+ from links where source in {_SHOWN} and target in {_SHOWN} qualify place < 300"""
 
 _COUNTS = """select count(*) as total_logs, count(*) filter (s > 0.6::double) as total_anomalies,
  count(*) filter (s > 0.8::double) as critical_alerts,
@@ -429,7 +433,7 @@ _BODIES: dict[str, str] = {
     "severity": """select file_id, line_number, severity,
  case severity when 'critical' then 1 when 'high' then 2 when 'medium' then 3 else 4 end as priority from labelled""",
     "alerts": f"select {_ALERT} from alert_rows",
-    "error_patterns": """select left(message, 50) as pattern, count(*) as error_count from anomalies
+    "error_patterns": """select message as pattern, count(*) as error_count from anomalies
  where level = 'ERROR' group by 1""",
     "distinct_entities": """select distinct 'service' as kind, service as entity from anomalies where service <> ''
  union all select distinct 'ip_address', ip_address from anomalies where ip_address <> ''""",
@@ -487,7 +491,8 @@ _BODIES: dict[str, str] = {
     "graph_links": "select source, target, value from links",
     "skipped_links": f"""select {_EDGE} from all_edges
  where src not in (select id from named_nodes) or dst not in (select id from named_nodes)""",
-    "graph_json": _GRAPH_DOC,
+    "graph_json": _GRAPH_ROWS,
+    "graph_preview": _GRAPH_PREVIEW,
     "anomaly_page": _page(_RECORD, "anomalies", "file_id, line_number", 2, 50),
     "min_score_page": _page(
         _RECORD, "anomalies", "file_id, line_number", 1, 50,
@@ -549,7 +554,7 @@ _BODIES: dict[str, str] = {
     "running_counters": f"{_COUNTS} from (select base as s from linear)",
     "stream_sliding": f"""select * from ({_windows(_SLIDING)})
  where window_end <= strftime((select max(timestamp) from valid) - interval 10 minute, {_TS})""",
-    "stream_graph": "select src as source, dst as target, weight as value from edges order by weight desc, src, dst limit 300",
+    "stream_graph": "select src as source, dst as target, weight as value from edges",
     "stream_windows": f"""select * from ({_windows(_TUMBLING)})
  where window_end <= strftime((select max(timestamp) from valid) - interval 10 minute, {_TS})""",
 }

@@ -13,7 +13,7 @@ from emberlog.operators.aggregates import WINDOW_FEATURES, WINDOW_FIELDS, window
 from emberlog.operators.parse import extract_features, parse_lines, valid_lines
 from emberlog.operators.readside import recent_anomalies
 from emberlog.operators.statistics import live_counters
-from emberlog.plans.graphs import empty_graph, export_graph
+from emberlog.plans.graphs import export_graph
 
 ANOMALIES, COUNTERS, GRAPHS = "anomalies", "counters", "graphs"
 EDGES, SNAPSHOTS = "edges", "edge_snapshots"
@@ -107,22 +107,24 @@ def refresh_graph(spark: SparkSession, sink: str, batch_id: int) -> None:
 def _newest_snapshot(spark: SparkSession, sink: str, batch_id: int) -> int | None:
     try:
         snapshots = read_sink(spark, sink, SNAPSHOTS)
-    except AnalysisException:  # the first refresh
-        return None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # the first refresh
     return snapshots.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
 
 
 def latest_graph(spark: SparkSession, sink: str) -> DataFrame:
-    """The newest graph document; an empty graph when there is none yet."""
+    """``kind`` and ``value`` rows of the newest graph; no rows when there is none yet."""
+    schema = "value string, batch_id bigint, kind string"
     try:
-        graphs = (
-            spark.read.schema("value string, batch_id bigint")
-            .option("basePath", f"{sink}/{GRAPHS}")
-            .text(f"{sink}/{GRAPHS}")
-        )
-    except AnalysisException:
-        return empty_graph(spark)
-    return graphs.orderBy(F.desc("batch_id")).limit(1).select("value")
+        graphs = spark.read.schema(schema).option("basePath", f"{sink}/{GRAPHS}").text(f"{sink}/{GRAPHS}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "kind string, value string")
+    newest = graphs.agg(F.max("batch_id")).first()[0]
+    return graphs.filter(F.col("batch_id") == newest).select("kind", "value")
 
 
 def live_statistics(spark: SparkSession, sink: str) -> DataFrame:

@@ -74,12 +74,12 @@ def test_first_and_last_follow_line_order_and_skip_undated(lines):
     assert row.first_timestamp == datetime(2024, 1, 5) and row.last_timestamp == datetime(2024, 1, 3)
 
 
-def test_error_patterns_use_fifty_characters(lines):
+def test_error_patterns_use_the_whole_message(lines):
     df = parse_lines(lines(
-        log_line(level="ERROR", message="a" * 50 + "1"), log_line(level="ERROR", message="a" * 50 + "2"),
+        log_line(level="ERROR", message="a" * 80 + "1"), log_line(level="ERROR", message="a" * 80 + "1"),
         log_line(level="WARN", message="w"),
     ))
-    assert [tuple(r) for r in A.error_patterns(df).collect()] == [("a" * 50, 2)]
+    assert [tuple(r) for r in A.error_patterns(df).collect()] == [("a" * 80 + "1", 2)]
 
 
 def test_live_counters_count_each_line_once(spark):

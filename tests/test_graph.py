@@ -119,22 +119,27 @@ def test_export_skips_unusable_ends(spark):
     assert as_set(nodes) == {("a", "service", "a"), ("i", "ip", "i"), ("t", "unknown", "t")}
     assert sorted(map(tuple, graph.export_links(nodes, edges).collect())) == [("i", "a", 1), ("i", "a", 5)]
     assert graph.skipped_links(nodes, edges).count() == 4
-    doc = json.loads(graph.graph_json(vertices, edges).first().value)
+    doc = json.loads(graph.graph_json(vertices, edges, 10, 10).first().value)
     assert [n["id"] for n in doc["nodes"]] == ["a", "i", "t"]
     assert doc["links"][0] == {"source": "i", "target": "a", "value": 5}
+    assert (doc["nodes_left_out"], doc["links_left_out"]) == (0, 0)
 
 
-def test_export_limits(spark):
+def test_export_is_whole_and_the_preview_says_what_it_leaves_out(spark):
     vertices = spark.range(400).selectExpr("concat('n', lpad(id, 4, '0')) as id", "'user' as type")
     edges = spark.range(400).selectExpr(
         "'user' as src_type", "concat('n', lpad(id, 4, '0')) as src", "'n0000' as dst", "id + 1 as weight",
         "1.0D as avg_response_time", "0L as error_count")
-    doc = json.loads(graph.graph_json(vertices, edges).first().value)
+    kinds = [r.kind for r in graph.graph_lines(vertices, edges).collect()]
+    assert (kinds.count("node"), kinds.count("link")) == (400, 400)
+    doc = json.loads(graph.graph_json(vertices, edges, 150, 100).first().value)
     assert [n["id"] for n in doc["nodes"]] == [f"n{i:04d}" for i in range(150)]
-    assert [l["value"] for l in doc["links"]] == list(range(400, 100, -1))
+    assert [l["value"] for l in doc["links"]] == list(range(150, 50, -1))  # both ends are in the document
+    assert (doc["nodes_left_out"], doc["links_left_out"]) == (250, 300)
 
 
 def test_empty_graph(spark):
     empty = spark.createDataFrame([], EDGES)
-    doc = json.loads(graph.graph_json(graph.vertices_of(empty), empty).first().value)
-    assert doc == {"nodes": [], "links": []}
+    doc = json.loads(graph.graph_json(graph.vertices_of(empty), empty, 10, 10).first().value)
+    assert doc == {"nodes": [], "links": [], "nodes_left_out": 0, "links_left_out": 0}
+    assert graph.graph_lines(graph.vertices_of(empty), empty).count() == 0

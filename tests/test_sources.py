@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql.utils import AnalysisException
 from conftest import log_line
 
 from emberlog.functions import columns as C
@@ -135,14 +136,14 @@ def test_repeated_analysis_hides_former_rows(spark, log_dir, tmp_path_factory):
     assert row.status == "completed" and row.processing_time >= 0
 
 
-def test_graph_export_falls_back_to_an_empty_graph(spark, tmp_path):
+def test_failed_graph_export_keeps_the_last_graph(spark, tmp_path):
     edges = spark.createDataFrame([("a", "b", 1)], "src string, dst string, weight bigint")
     vertices = spark.createDataFrame([("a", "ip"), ("b", "service")], "id string, type string")
-    assert graphs.export_graph(vertices, edges, str(tmp_path / "g"))
-    assert json.loads(spark.read.text(str(tmp_path / "g")).first().value)["links"] == [
-        {"source": "a", "target": "b", "value": 1}]
-    assert not graphs.export_graph(vertices, edges.drop("dst"), str(tmp_path / "g"))
-    assert json.loads(spark.read.text(str(tmp_path / "g")).first().value) == {"nodes": [], "links": []}
+    graphs.export_graph(vertices, edges, str(tmp_path / "g"))
+    with pytest.raises(AnalysisException):
+        graphs.export_graph(vertices, edges.drop("dst"), str(tmp_path / "g"))
+    links = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "g")).filter("kind = 'link'").collect()]
+    assert links == [{"source": "a", "target": "b", "value": 1}]
 
 
 def test_scratch_follows_the_session(spark, monkeypatch):
