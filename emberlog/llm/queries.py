@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.llm import bytebpe, chat, jaccard, langid, maintext, pstable, substrings, suffixes, tokenfiles, toxicity
+from emberlog.llm.oracles import ORACLES  # noqa: F401
 from emberlog.sources.scratch import scratch_dir
 
 
@@ -120,5 +121,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op8_embedding_dedup, op9_toxicity, op10_html_text,
     )
 }
-
-ORACLES: dict[str, str] = {}
