@@ -37,3 +37,10 @@ class AnalysisOptions:
         if self.anomaly_threshold is not None:
             return self.anomaly_threshold
         return self.thresholds.analysis_anomaly
+
+    @property
+    def ml_threshold(self) -> float:
+        """Cut of the combined score: an average line scores about 0.5, so the rules' cut would mark it."""
+        if self.anomaly_threshold is not None:
+            return self.anomaly_threshold
+        return self.thresholds.ensemble_anomaly

@@ -182,7 +182,7 @@ def analysis_list(statistics: DataFrame) -> DataFrame:
     """One row per analysis, newest first."""
     return statistics.select(
         "file_id",
-        F.regexp_replace("file_id", r"_\d+$", "").alias("filename"),
+        F.regexp_replace("file_id", r"(_\d{9,}_[0-9A-F]+|_\d+)$", "").alias("filename"),
         "analysis_completed",
         "status",
         "total_logs",

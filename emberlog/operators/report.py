@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,10 +19,19 @@ ORDER = ["section", "ord", "detail"]
 _HEAD, _SUMMARY, _SEVERITY, _DETAILS, _ANOMALIES, _ALERTS, _ADVICE, _END = range(8)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Rows of each list that a report shows."""
+
+    anomalies: int = 50
+    alerts: int = 30
+    addresses: int = 10
+
+
 def report_lines(
-    title_id: str, statistics: DataFrame, anomalies: DataFrame, alerts: DataFrame, method: str
+    title_id: str, statistics: DataFrame, anomalies: DataFrame, alerts: DataFrame, method: str, limits: Limits = Limits()
 ) -> DataFrame:
-    """All report rows.  Inputs are result tables; the lists inside are top-n by design."""
+    """All report rows.  Inputs are result tables, which hold the whole lists; ``limits`` says how much of them is shown."""
     totals = statistics.agg(
         *[
             F.coalesce(F.sum(c), F.lit(0)).alias(c)
@@ -32,11 +42,11 @@ def report_lines(
         ]
     )
     parts = [
-        _fixed_rows(totals, title_id, method),
+        _fixed_rows(totals, title_id, method, limits),
         _service_rows(anomalies),
-        _address_rows(anomalies),
-        _anomaly_rows(anomalies),
-        _alert_rows(alerts),
+        _address_rows(anomalies, limits.addresses),
+        _anomaly_rows(anomalies, limits.anomalies),
+        _alert_rows(alerts, limits.alerts),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -62,7 +72,7 @@ def _heading(section: int, text: str | Column) -> list[Column]:
     return [_row(section, i, t) for i, t in enumerate(["", rule, text, rule], start=-4)]
 
 
-def _fixed_rows(totals: DataFrame, title_id: str, method: str) -> DataFrame:
+def _fixed_rows(totals: DataFrame, title_id: str, method: str, limits: Limits) -> DataFrame:
     double_rule = "=" * fixed.REPORT_WIDTH
     names = fixed.REPORT_SECTIONS
     alerts = (
@@ -74,24 +84,24 @@ def _fixed_rows(totals: DataFrame, title_id: str, method: str) -> DataFrame:
     def number(label: str, value: Column | str) -> Column:
         return F.concat(F.lit(f"{label}: "), F.format_number(value, 0))
 
-    head = [double_rule, fixed.REPORT_TITLE, double_rule, "", f"File ID: {title_id}"]
+    head = [double_rule, fixed.REPORT_TITLE, double_rule, "", f"Analysis: {title_id}"]
     rows = [_row(_HEAD, i, text) for i, text in enumerate(head)]
     summary = [
-        number("Total Logs Processed", "total_logs"),
-        number("Anomalies Detected", "anomalies_found"),
-        number("Alerts Generated", alerts),
-        F.lit(f"Analysis Method: {method}"),
+        number("Lines read", "total_logs"),
+        number("Lines marked", "anomalies_found"),
+        number("Alerts", alerts),
+        F.lit(f"Method: {method}"),
     ]
     severity = [
         F.concat(F.lit(f"{label}: "), F.col(column).cast("string"))
         for label, column in (
-            ("Critical Alerts", "critical_alerts"),
-            ("High Risk Alerts", "high_risk_alerts"),
-            ("Medium Risk Alerts", "medium_risk_alerts"),
-            ("Low Risk Alerts", "low_risk_alerts"),
+            ("critical", "critical_alerts"),
+            ("high", "high_risk_alerts"),
+            ("medium", "medium_risk_alerts"),
+            ("low", "low_risk_alerts"),
         )
     ]
-    details = [F.concat(F.lit("Error Rate: "), F.format_string("%.2f%%", F.round(errors * 100, 2)))]
+    details = [F.concat(F.lit("Share of errors: "), F.format_string("%.2f%%", F.round(errors * 100, 2)))]
     advice = [
         F.when(F.col("critical_alerts") > 0, fixed.ADVICE_CRITICAL),
         F.when(F.col("high_risk_alerts") > fixed.ADVICE_HIGH_COUNT, fixed.ADVICE_HIGH),
@@ -108,15 +118,15 @@ def _fixed_rows(totals: DataFrame, title_id: str, method: str) -> DataFrame:
     ):
         rows += _heading(section, names[name])
         rows += [_row(section, i, line) for i, line in enumerate(lines)]
-    rows += _heading(_ANOMALIES, _first_of("anomalies", fixed.REPORT_ANOMALIES, F.col("anomalies_found")))
-    rows += _heading(_ALERTS, _first_of("alerts", fixed.REPORT_ALERTS, alerts))
+    rows += _heading(_ANOMALIES, _first_of("anomalies", limits.anomalies, F.col("anomalies_found")))
+    rows += _heading(_ALERTS, _first_of("alerts", limits.alerts, alerts))
     rows += [_row(_END, i, t) for i, t in enumerate(["", double_rule, fixed.REPORT_END, double_rule])]
     return totals.select(F.inline(F.array(*rows))).filter(F.col("line").isNotNull())
 
 
 def _first_of(section: str, n: int, count: Column) -> Column:
     return F.concat(
-        F.lit(f"{fixed.REPORT_SECTIONS[section]} (showing first {n} of "), count.cast("string"), F.lit(")")
+        F.lit(f"{fixed.REPORT_SECTIONS[section]} ({n} listed of "), count.cast("string"), F.lit(")")
     )
 
 
@@ -127,11 +137,11 @@ def _service_rows(anomalies: DataFrame) -> DataFrame:
     listed = counts.select(
         F.inline(
             F.array(
-                _row(_DETAILS, 101, F.concat(F.lit("  • "), service), service),
+                _row(_DETAILS, 101, F.concat(F.lit("  - "), service), service),
                 _row(
                     _DETAILS,
                     F.lit(2**62) - n,
-                    F.concat(F.lit("  • "), service, F.lit(": "), n.cast("string"), F.lit(" anomalies")),
+                    F.concat(F.lit("  - "), service, F.lit(": "), n.cast("string"), F.lit(" lines")),
                     service,
                 ),
             )
@@ -140,17 +150,17 @@ def _service_rows(anomalies: DataFrame) -> DataFrame:
     titles = anomalies.sparkSession.range(1).select(
         F.inline(
             F.array(
-                _row(_DETAILS, 100, "Services Affected:"),
-                _row(_DETAILS, 2**61, "Services with Most Anomalies:"),
+                _row(_DETAILS, 100, "Services with marked lines:"),
+                _row(_DETAILS, 2**61, "Services by marked lines:"),
             )
         )
     )
     return titles.unionByName(listed)
 
 
-def _address_rows(anomalies: DataFrame) -> DataFrame:
+def _address_rows(anomalies: DataFrame, n: int) -> DataFrame:
     top = A.top_counts(
-        anomalies.filter(F.col("ip_address") != ""), "ip_address", fixed.REPORT_IPS, "n"
+        anomalies.filter(F.col("ip_address") != ""), "ip_address", n, "n"
     )
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "ip_address"))  # over the top rows only
     listed = top.withColumn("rank", rank).select(
@@ -165,7 +175,7 @@ def _address_rows(anomalies: DataFrame) -> DataFrame:
         )
     )
     title = anomalies.sparkSession.range(1).select(
-        F.inline(F.array(_row(_DETAILS, 200, f"Top {fixed.REPORT_IPS} Suspicious IP Addresses:")))
+        F.inline(F.array(_row(_DETAILS, 200, f"Addresses by marked lines ({n} listed):")))
     )
     return title.unionByName(listed)
 
@@ -192,28 +202,28 @@ def _listed(df: DataFrame, order: list[Column | str], limit: int, section: int,
     return ranked.select(F.inline(F.array(*lines)))
 
 
-def _anomaly_rows(anomalies: DataFrame) -> DataFrame:
+def _anomaly_rows(anomalies: DataFrame, n: int) -> DataFrame:
     return _listed(
-        anomalies, [F.asc("file_id"), F.asc("line_number")], fixed.REPORT_ANOMALIES, _ANOMALIES, "Anomaly",
+        anomalies, [F.asc("file_id"), F.asc("line_number")], n, _ANOMALIES, "Line",
         {
-            "Timestamp": _stamp(),
-            "Service": _known("service"),
-            "Log Level": _known("level"),
-            "Message": _known("message"),
-            "Source IP": _known("ip_address"),
-            "Anomaly Score": F.format_string("%.4f", "anomaly_score"),
-            "Severity": C.severity(),
+            "time": _stamp(),
+            "service": _known("service"),
+            "level": _known("level"),
+            "message": _known("message"),
+            "address": _known("ip_address"),
+            "score": F.format_string("%.4f", "anomaly_score"),
+            "severity": C.severity(),
         },
     )
 
 
-def _alert_rows(alerts: DataFrame) -> DataFrame:
+def _alert_rows(alerts: DataFrame, n: int) -> DataFrame:
     return _listed(
-        alerts, alert_order(), fixed.REPORT_ALERTS, _ALERTS, "Alert",
+        alerts, alert_order(), n, _ALERTS, "Alert",
         {
-            "Timestamp": _stamp(),
-            "Service": _known("service"),
-            "Severity": F.col("severity"),
-            "Description": _known("message"),
+            "time": _stamp(),
+            "service": _known("service"),
+            "severity": F.col("severity"),
+            "text": _known("message"),
         },
     )

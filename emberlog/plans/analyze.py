@@ -47,8 +47,9 @@ class Analysis:
     def write(self, root: str, only: tuple[str, ...] = tables.ALL) -> None:
         """Write the result tables, replacing only the partitions of these files.
 
-        The statistics come last: their run id says which rows of the other
-        tables are current, so a run without anomalies hides those of the run before.
+        A commit of every file and table written comes last and names the current run:
+        a run without anomalies hides those of the run before, and tables that this
+        run does not write stay as they are.
         """
         run = uuid.uuid4().hex
         rows = {
@@ -61,6 +62,7 @@ class Analysis:
                 tables.write_table(df, root, name, run)
         if tables.STATISTICS in only:
             tables.write_table(self._labelled(), root, tables.STATISTICS, run)
+        tables.write_commits(self.statistics.select("file_id"), root, only, run)
 
     def _labelled(self) -> DataFrame:
         return self.statistics.withColumns(
@@ -105,19 +107,22 @@ def analyze_ml(lines: DataFrame, options: AnalysisOptions = AnalysisOptions()) -
     """KMeans and isolation forest fitted on these lines, combined by weights.
 
     Features are written once; the scaler, KMeans, the forest sample and the
-    scores all read that table, never the text again.
+    scores all read that table, never the text again.  Lines without all features
+    are rejects; if no line has them, nothing can be fitted and the rules decide.
     """
     features = staged(extract_features(valid_lines(parse_lines(lines))), "features")
     names = fixed.FEATURES_11
     rows = complete_rows(features, names)
+    rejects = rejected_rows(features, names).select("file_id", "line_number")
+    if rows.isEmpty():
+        return replace(analyze_rules(lines, options, stage=True), rejects=rejects)
     _, model = kmeans.fit_kmeans(rows, names)
     forest = iforest.fit_isolation_forest(rows, names, ["file_id", "line_number"])
     scored = centers.zscore_scores(model.assign(rows), model, options.thresholds)
     scored = staged(iforest.ensemble(forest.score(scored), options.thresholds), "ensemble-scores")
-    rejects = rejected_rows(features, names).select("file_id", "line_number")
     return _analysis(
         scored,
-        F.col("final_anomaly_score") >= options.threshold,
+        F.col("final_anomaly_score") >= options.ml_threshold,
         ML_TYPE,
         options,
         rejects,

@@ -58,9 +58,12 @@ def query(fn: Query) -> Query:
     """Register under the function's own name, with comparable output values."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return comparable(fn(spark, sf_dir))
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        try:
+            return comparable(fn(spark, sf_dir))  # the plan keeps the zone it was analysed in
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     QUERIES[fn.__name__] = run

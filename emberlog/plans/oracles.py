@@ -310,70 +310,70 @@ _REPORT_PARTS = [
     *[
         f"select 0 as section, {i} as ord, '' as detail, '{t}' as line"
         for i, t in enumerate(
-            [_DOUBLE_RULE, "LOG ANOMALY DETECTION ANALYSIS REPORT", _DOUBLE_RULE, "", f"File ID: {REPORT_ID}"]
+            [_DOUBLE_RULE, "Findings in service logs", _DOUBLE_RULE, "", f"Analysis: {REPORT_ID}"]
         )
     ],
-    _heading(1, "'EXECUTIVE SUMMARY'"),
-    f"select 1, 0, '', 'Total Logs Processed: ' || format('{{:,}}', total_logs) from {_TOTALS}",
-    f"select 1, 1, '', 'Anomalies Detected: ' || format('{{:,}}', anomalies_found) from {_TOTALS}",
-    f"select 1, 2, '', 'Alerts Generated: ' || format('{{:,}}', {_ALERT_SUM}) from {_TOTALS}",
-    "select 1, 3, '', 'Analysis Method: Pattern Matching (Spark-accelerated)'",
-    _heading(2, "'ALERT SEVERITY BREAKDOWN'"),
-    f"select 2, 0, '', 'Critical Alerts: ' || critical_alerts from {_TOTALS}",
-    f"select 2, 1, '', 'High Risk Alerts: ' || high_risk_alerts from {_TOTALS}",
-    f"select 2, 2, '', 'Medium Risk Alerts: ' || medium_risk_alerts from {_TOTALS}",
-    f"select 2, 3, '', 'Low Risk Alerts: ' || low_risk_alerts from {_TOTALS}",
-    _heading(3, "'DETAILED STATISTICS'"),
-    f"select 3, 0, '', 'Error Rate: ' || printf('%.2f%%', round(error_logs / total_logs * 100, 2)) from {_TOTALS}",
-    "select 3, 100, '', 'Services Affected:'",
-    "select distinct 3, 101, service, '  • ' || service from anomalies where service <> ''",
-    "select 3, 200, '', 'Top 10 Suspicious IP Addresses:'",
+    _heading(1, "'Overview'"),
+    f"select 1, 0, '', 'Lines read: ' || format('{{:,}}', total_logs) from {_TOTALS}",
+    f"select 1, 1, '', 'Lines marked: ' || format('{{:,}}', anomalies_found) from {_TOTALS}",
+    f"select 1, 2, '', 'Alerts: ' || format('{{:,}}', {_ALERT_SUM}) from {_TOTALS}",
+    "select 1, 3, '', 'Method: Pattern Matching (Spark-accelerated)'",
+    _heading(2, "'Alerts by severity'"),
+    f"select 2, 0, '', 'critical: ' || critical_alerts from {_TOTALS}",
+    f"select 2, 1, '', 'high: ' || high_risk_alerts from {_TOTALS}",
+    f"select 2, 2, '', 'medium: ' || medium_risk_alerts from {_TOTALS}",
+    f"select 2, 3, '', 'low: ' || low_risk_alerts from {_TOTALS}",
+    _heading(3, "'Errors, services, addresses'"),
+    f"select 3, 0, '', 'Share of errors: ' || printf('%.2f%%', round(error_logs / total_logs * 100, 2)) from {_TOTALS}",
+    "select 3, 100, '', 'Services with marked lines:'",
+    "select distinct 3, 101, service, '  - ' || service from anomalies where service <> ''",
+    "select 3, 200, '', 'Addresses by marked lines (10 listed):'",
     """select 3, 200 + rk, '', '  ' || rk || '. ' || ip_address from (
  select ip_address, row_number() over (order by count(*) desc, ip_address) as rk from anomalies
  where ip_address <> '' group by ip_address) where rk <= 10""",
-    "select 3, 2305843009213693952, '', 'Services with Most Anomalies:'",
-    """select 3, 4611686018427387904 - count(*), service, '  • ' || service || ': ' || count(*) || ' anomalies'
+    "select 3, 2305843009213693952, '', 'Services by marked lines:'",
+    """select 3, 4611686018427387904 - count(*), service, '  - ' || service || ': ' || count(*) || ' lines'
  from anomalies where service <> '' group by service""",
-    _heading(4, f"(select 'TOP ANOMALIES (showing first 50 of ' || anomalies_found || ')' from {_TOTALS})"),
+    _heading(4, f"(select 'Marked lines in order (50 listed of ' || anomalies_found || ')' from {_TOTALS})"),
     _block(
         4,
         "select *, row_number() over (order by file_id, line_number) as rk from anomalies qualify rk <= 50",
-        "Anomaly",
+        "Line",
         [
-            ("Timestamp", _STAMP),
-            ("Service", "coalesce(nullif(service, ''), 'N/A')"),
-            ("Log Level", "coalesce(nullif(level, ''), 'N/A')"),
-            ("Message", "coalesce(nullif(message, ''), 'N/A')"),
-            ("Source IP", "coalesce(nullif(ip_address, ''), 'N/A')"),
-            ("Anomaly Score", "printf('%.4f', anomaly_score)"),
-            ("Severity", "severity"),
+            ("time", _STAMP),
+            ("service", "coalesce(nullif(service, ''), 'N/A')"),
+            ("level", "coalesce(nullif(level, ''), 'N/A')"),
+            ("message", "coalesce(nullif(message, ''), 'N/A')"),
+            ("address", "coalesce(nullif(ip_address, ''), 'N/A')"),
+            ("score", "printf('%.4f', anomaly_score)"),
+            ("severity", "severity"),
         ],
     ),
-    _heading(5, f"(select 'TOP CRITICAL ALERTS (showing first 30 of ' || {_ALERT_SUM} || ')' from {_TOTALS})"),
+    _heading(5, f"(select 'Most urgent alerts (30 listed of ' || {_ALERT_SUM} || ')' from {_TOTALS})"),
     _block(
         5,
         f"select *, row_number() over (order by {_ALERT_ORDER}) as rk from alert_rows qualify rk <= 30",
         "Alert",
         [
-            ("Timestamp", _STAMP),
-            ("Service", "coalesce(nullif(service, ''), 'N/A')"),
-            ("Severity", "severity"),
-            ("Description", "message"),
+            ("time", _STAMP),
+            ("service", "coalesce(nullif(service, ''), 'N/A')"),
+            ("severity", "severity"),
+            ("text", "message"),
         ],
     ),
-    _heading(6, "'RECOMMENDATIONS'"),
-    f"""select 6, 0, '', '• Immediate investigation required for CRITICAL severity alerts'
+    _heading(6, "'What to do'"),
+    f"""select 6, 0, '', '- Look at the critical alerts first.'
  from {_TOTALS} where critical_alerts > 0""",
-    f"""select 6, 1, '', '• Review configuration and firewall rules for suspicious IPs'
+    f"""select 6, 1, '', '- Many high alerts: check which addresses they come from.'
  from {_TOTALS} where high_risk_alerts > 10""",
-    f"""select 6, 2, '', '• Anomaly rate is high (>10%) - consider reviewing log sources'
+    f"""select 6, 2, '', '- More than a tenth of the lines are marked: check sources and threshold.'
  from {_TOTALS} where anomalies_found > total_logs * 0.1""",
-    f"""select 6, 3, '', '• Error rate exceeds 5% - investigate service health'
+    f"""select 6, 3, '', '- More than one line in twenty is an error: check the services above.'
  from {_TOTALS} where error_logs > total_logs * 0.05""",
-    "select 6, 4, '', '• Archive this report for compliance and audit purposes'",
-    "select 6, 5, '', '• Schedule regular analysis runs for continuous monitoring'",
+    "select 6, 4, '', '- Keep this report with the results it was made from.'",
+    "select 6, 5, '', '- Compare it with the next run.'",
     *[
-        f"select 7, {i}, '', '{t}'" for i, t in enumerate(["", _DOUBLE_RULE, "END OF REPORT", _DOUBLE_RULE])
+        f"select 7, {i}, '', '{t}'" for i, t in enumerate(["", _DOUBLE_RULE, "(end)", _DOUBLE_RULE])
     ],
 ]
 _REPORT = " union all ".join(_REPORT_PARTS)

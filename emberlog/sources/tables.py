@@ -8,25 +8,34 @@ from pyspark.sql.utils import AnalysisException
 
 ANOMALIES, ALERTS, STATISTICS, REJECTS = "anomalies", "alerts", "statistics", "rejects"
 ALL = (ANOMALIES, ALERTS, STATISTICS, REJECTS)
+COMMITS = "commits"
 
 
-def write_partitions(df: DataFrame, path: str, key: str = "file_id") -> None:
+def write_partitions(df: DataFrame, path: str, *keys: str) -> None:
     """Replace exactly the partitions present in ``df``.
 
     The rebalance hint lets adaptive execution cut a hot file into several
     write tasks and pack small files into few.
     """
+    keys = keys or ("file_id",)
     (
-        df.hint("rebalance", F.col(key))
+        df.hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
+        .partitionBy(*keys)
         .parquet(path)
     )
 
 
 def write_table(df: DataFrame, root: str, table: str, run_id: str) -> None:
-    write_partitions(df.withColumn("run_id", F.lit(run_id)), f"{root}/{table}")
+    write_partitions(df.withColumn("run_id", F.lit(run_id)), f"{root}/{table}", "file_id")
+
+
+def write_commits(files: DataFrame, root: str, written: tuple[str, ...], run_id: str) -> None:
+    """Say for each file and table that ``run_id`` is the current run."""
+    names = F.explode(F.array(*[F.lit(t) for t in written])).alias("table")
+    rows = files.distinct().select("file_id", names, F.lit(run_id).alias("run_id"))
+    write_partitions(rows, f"{root}/{COMMITS}", "table", "file_id")
 
 
 def read_table(spark: SparkSession, root: str, table: str, file_id: str | None = None) -> DataFrame:
@@ -34,13 +43,14 @@ def read_table(spark: SparkSession, root: str, table: str, file_id: str | None =
     df = _stored(spark, root, table)
     if file_id is not None:
         df = df.filter(F.col("file_id") == file_id)
-    if table != STATISTICS:
-        try:
-            runs = _stored(spark, root, STATISTICS).select("file_id", "run_id")
-            df = df.join(runs, ["file_id", "run_id"], "left_semi")
-        except AnalysisException:  # written without statistics: a single run
-            pass
-    return df.drop("run_id")
+    try:
+        commits = _stored(spark, root, COMMITS)
+    except AnalysisException as missing:  # a table written on its own has no commits
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return df.drop("run_id")
+    runs = commits.filter(F.col("table") == table).select("file_id", "run_id")
+    return df.join(runs, ["file_id", "run_id"], "left_semi").drop("run_id")
 
 
 def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:

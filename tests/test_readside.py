@@ -115,21 +115,21 @@ def test_report_text(written):
     statistics, found, alerts = written(*([log_line()] * 1200), *([bad] * 60), "[ERROR] - x")
     text = [r.value for r in report.ordered_report(
         report.report_lines("a.log_1", statistics, found, alerts, METHOD_LABELS["pattern_spark"])).collect()]
-    assert text[1] == "LOG ANOMALY DETECTION ANALYSIS REPORT" and text[-2] == "END OF REPORT"
+    assert text[1] == "Findings in service logs" and text[-2] == "(end)"
     for line in (
-        "File ID: a.log_1", "Total Logs Processed: 1,261", "Anomalies Detected: 61", "Critical Alerts: 60",
-        "TOP ANOMALIES (showing first 50 of 61)", "TOP CRITICAL ALERTS (showing first 30 of 60)",
-        "  1. 192.168.1.1", "  • db-service: 60 anomalies", "[Anomaly 50]", "[Alert 30]", "Error Rate: 4.84%",
-        "• Immediate investigation required for CRITICAL severity alerts",
+        "Analysis: a.log_1", "Lines read: 1,261", "Lines marked: 61", "critical: 60",
+        "Marked lines in order (50 listed of 61)", "Most urgent alerts (30 listed of 60)",
+        "  1. 192.168.1.1", "  - db-service: 60 lines", "[Line 50]", "[Alert 30]", "Share of errors: 4.84%",
+        "- Look at the critical alerts first.",
     ):
         assert line in text, line
-    assert "[Anomaly 51]" not in text and "[Alert 31]" not in text
-    assert not any("firewall" in l or ">10%" in l or "exceeds 5%" in l for l in text)
-    at = text.index("[Anomaly 1]")
+    assert "[Line 51]" not in text and "[Alert 31]" not in text
+    assert not any("Many high" in l or "a tenth" in l or "in twenty" in l for l in text)
+    at = text.index("[Line 1]")
     assert text[at + 1: at + 8] == [
-        "  Timestamp: 2024-01-01 10:30:45.123", "  Service: db-service", "  Log Level: ERROR",
-        "  Message: critical attack", "  Source IP: 192.168.1.1", "  Anomaly Score: 1.1000", "  Severity: critical"]
-    order = [text.index(t) for t in ("EXECUTIVE SUMMARY", "ALERT SEVERITY BREAKDOWN", "DETAILED STATISTICS", "RECOMMENDATIONS")]
+        "  time: 2024-01-01 10:30:45.123", "  service: db-service", "  level: ERROR",
+        "  message: critical attack", "  address: 192.168.1.1", "  score: 1.1000", "  severity: critical"]
+    order = [text.index(t) for t in ("Overview", "Alerts by severity", "Errors, services, addresses", "What to do")]
     assert order == sorted(order)
 
 
@@ -137,7 +137,7 @@ def test_report_advice(written):
     high = log_line(level="ERROR", rt=9000)
     statistics, found, alerts = written(*([high] * 12), *([log_line()] * 20))
     text = [r.value for r in report.ordered_report(report.report_lines("f", statistics, found, alerts, "m")).collect()]
-    assert "• Review configuration and firewall rules for suspicious IPs" in text
-    assert "• Anomaly rate is high (>10%) - consider reviewing log sources" in text
-    assert "• Error rate exceeds 5% - investigate service health" in text
-    assert "• Immediate investigation required for CRITICAL severity alerts" not in text
+    assert "- Many high alerts: check which addresses they come from." in text
+    assert "- More than a tenth of the lines are marked: check sources and threshold." in text
+    assert "- More than one line in twenty is an error: check the services above." in text
+    assert "- Look at the critical alerts first." not in text
