@@ -28,6 +28,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.sources.scratch import staged
+
 KNOWN_WORDS = 1 << 16
 SAMPLE_DOCS = 20_000
 _ABSENT = (1 << 31) - 1
@@ -62,8 +64,17 @@ class Tokenizer:
         some = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
         sample = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < int(some * (1 << 20)))
         words = sample.select(F.explode(self.pieces(F.col(text_col))).alias("word"))
-        top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(KNOWN_WORDS)
-        rows = top.select("word", self._folded(F.col("word")).alias("ids")).collect()  # at most KNOWN_WORDS
+        counted = staged(words.groupBy("word").count(), "word-counts")
+        # from the highest count down, as many whole counts as there is room for
+        room, least = KNOWN_WORDS, None
+        for row in sorted(counted.groupBy("count").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["count"]):
+            room -= row["n"]
+            if room < 0:
+                break
+            least = row["count"]
+        if least is None:
+            return self
+        rows = counted.filter(F.col("count") >= least).select("word", self._folded(F.col("word")).alias("ids")).collect()  # at most KNOWN_WORDS
         if rows:
             self.known, self.known_size = _map_literal(docs.sparkSession, [(r.word, r.ids) for r in rows], "array<int>")
         return self
