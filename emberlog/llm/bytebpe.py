@@ -22,7 +22,6 @@ a single run of letters of a hundred thousand characters takes minutes.
 from __future__ import annotations
 
 import base64
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,7 +55,8 @@ class Tokenizer:
     @classmethod
     def load(cls, spark: SparkSession, path: str, pattern: str) -> Tokenizer:
         tokens = read_ranks(path)
-        column, size = _map_literal(spark, [(t.decode("latin-1"), k) for k, t in enumerate(tokens)], "int")
+        named = spark.createDataFrame([(t.decode("latin-1"), k) for k, t in enumerate(tokens)], "key string, value int")
+        column, size = _map_literal(named, len(tokens))
         return cls(tokens, f"(?U){pattern}", column, size)
 
     def learn(self, docs: DataFrame, text_col: str = "text") -> Tokenizer:
@@ -74,9 +74,8 @@ class Tokenizer:
             least = row["count"]
         if least is None:
             return self
-        rows = counted.filter(F.col("count") >= least).select("word", self._folded(F.col("word")).alias("ids")).collect()  # at most KNOWN_WORDS
-        if rows:
-            self.known, self.known_size = _map_literal(docs.sparkSession, [(r.word, r.ids) for r in rows], "array<int>")
+        known = counted.filter(F.col("count") >= least)
+        self.known, self.known_size = _map_literal(known.select(F.col("word").alias("key"), self._folded(F.col("word")).alias("value")), KNOWN_WORDS)
         return self
 
     def pieces(self, text: Column) -> Column:
@@ -149,15 +148,14 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _map_literal(spark: SparkSession, rows: list[tuple], kind: str) -> tuple[Column, int]:
-    """A constant array of maps, each holding the keys whose hash gives its place."""
-    size = 1 << max(4, (len(rows) - 1).bit_length())
-    keys = spark.createDataFrame([(k,) for k, _ in rows], "key string")
-    places = [r[0] for r in keys.select(_place(F.col("key"), size)).collect()]
+def _map_literal(rows: DataFrame, most: int) -> tuple[Column, int]:
+    """A constant array of maps, each holding the keys whose hash gives its place; ``rows`` has at most ``most``."""
+    size = 1 << max(4, (most - 1).bit_length())
+    placed = rows.groupBy(_place(F.col("key"), size).alias("place")).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
     maps = ["{}"] * size
-    for (key, value), place in zip(rows, places, strict=True):
-        entry = f"{json.dumps(key)}:{json.dumps(value, separators=(',', ':'))}"
-        maps[place] = f"{{{entry}}}" if maps[place] == "{}" else f"{maps[place][:-1]},{entry}}}"
+    for place, text in placed.select("place", F.to_json("m")).collect():
+        maps[place] = text
+    kind = rows.schema["value"].dataType.simpleString()
     return F.from_json(F.lit(f"[{','.join(maps)}]"), f"array<map<string,{kind}>>"), size
 
 
