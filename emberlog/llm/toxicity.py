@@ -20,6 +20,7 @@ repeated labels count as often as they are given; further columns pass through.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -33,11 +34,11 @@ from pyspark.sql import functions as F
 from emberlog.llm.words import ALNUM, Chunk, chunks
 
 FIT_DOCS = 2000
-FEATURES = 1000
+FEATURES = 2000
 FOLDS = 4
 STEPS = 150
 PENALTY = 1e-3
-THRESHOLD = 0.3  # of the last category, from which a text counts as toxic; clean texts stay far below
+THRESHOLD = 0.5  # of the last category, from which a text counts as toxic
 PREFIXES = [4, 5, 6]
 _TABLE_BITS = 20
 
@@ -64,8 +65,20 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
     drawn = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     joined = texts.join(F.broadcast(drawn), "id")  # bounded by FIT_DOCS for each combination
-    found = joined.select("text", *categories).mapInArrow(_listed, ", ".join(["features binary", *[f"`{c}` int" for c in categories]])).collect()
-    return _fitted(categories, [np.frombuffer(r["features"], np.uint64) for r in found], np.array([[r[c] for c in categories] for r in found]).reshape(len(found), len(categories)))
+    listed = joined.select("text", *categories).mapInArrow(_listed, ", ".join(["features binary", *[f"`{c}` int" for c in categories]]))
+    # the bounded sample is fitted in one task, away from the driver
+    fitted = listed.repartition(1).mapInArrow(partial(_fit_task, categories), "chain binary").collect()
+    return pickle.loads(fitted[0][0])
+
+
+def _fit_task(categories: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: list[tuple] = []
+    for batch in batches:
+        found += zip(*[c.to_pylist() for c in batch.columns], strict=True)
+    found.sort()  # the folds don't depend on the order of arrival
+    rows = [np.frombuffer(r[0], np.uint64) for r in found]
+    chain = _fitted(categories, rows, np.array([r[1:] for r in found], int).reshape(len(found), len(categories)))
+    yield pa.record_batch([pa.array([pickle.dumps(chain)], pa.binary())], names=["chain"])
 
 
 def predict(docs: DataFrame, chain: Chain, text_col: str = "text", column: str = "toxicity") -> DataFrame:
