@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.words import ALNUM, Chunk, chunks
 
-FIT_DOCS = 2000
+FIT_DOCS = 3000
 FEATURES = 2000
 FOLDS = 4
 STEPS = 150
 PENALTY = 1e-3
-THRESHOLD = 0.5  # of the last category, from which a text counts as toxic
+THRESHOLD = 0.15  # of the last category, from which a text counts as toxic; out-of-fold, clean texts of check_s stay below 0.12
 PREFIXES = [4, 5, 6]
 _TABLE_BITS = 20
 

@@ -82,6 +82,14 @@ def test_op9_labelled_rows(spark):
     assert sum(got[d][0] for d in toxic) >= 0.8 * len(toxic)
 
 
+def test_op9_finds_every_toxic_row(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = dict(duckdb.sql(f"select doc_id, toxic from '{sf}/labels.parquet' where doc_id is not null and toxic is not null").fetchall())
+    got = {r.doc_id: r.toxic for r in QUERIES["op9_toxicity"](spark, sf).collect()}
+    wrong = {d: y for d, y in truth.items() if d in got and got[d] != bool(y)}
+    assert any(truth.values()) and not wrong
+
+
 def test_op10(spark):
     got = result(spark, "op10_html_text", "page_id", "text", "n_chars")
     expected = {p: brute.article_text(h) for p, h in table("page_id, html", "pages")}
