@@ -14,6 +14,10 @@ size. Encoded documents are dealt by ranges of document id (quantiles) and writt
 that order as they come, so no task holds a range in memory, and a part is written
 again as a whole if its executor is lost.
 
+Added tokens of the vocabulary (such as ``<|endoftext|>``) that stand in a text get their own id, as
+the tokenizer gives it, and the text between them is encoded by itself. Added tokens that strip
+their surroundings or must be words of their own are refused.
+
 Defined cases: null text is empty (its ids are the end id alone); null ids come
 first; rows with one id keep both, ordered by a checksum of their ids; an empty
 table gives a manifest without parts; further columns are not read.
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -94,15 +99,33 @@ def _tokenizer(vocabulary: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+    tokenizer.encode_special_tokens = True  # added tokens are cut out before pieces go to the tokenizer
     return tokenizer
 
 
+@lru_cache(2)
+def _added(vocabulary: str) -> tuple[re.Pattern, dict[bytes, int]]:
+    """Pattern of the added tokens, of several at one place the longest, and their ids."""
+    found = _tokenizer(vocabulary).get_added_tokens_decoder()
+    for token in found.values():
+        if token.lstrip or token.rstrip or token.single_word:
+            raise ValueError(f"added token {token.content!r} depends on its surroundings")
+    ids = {token.content.encode(): k for k, token in found.items() if token.content}
+    return re.compile(b"|".join(re.escape(x) for x in sorted(ids, key=len, reverse=True)) or rb"(?!)"), ids
+
+
 class _Known:
     """Ids of the pieces a Python worker has met, packed, by the hash of the piece."""
 
     def __init__(self, vocabulary: str, kind: str) -> None:
         self.tokenizer, self.kind, self.ids = _tokenizer(vocabulary), kind, {}
+        self.pattern, self.added = _added(vocabulary)
+
+    def cuts(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Begins, ends and ids of the added tokens in the texts."""
+        buf = raw.tobytes()
+        found = [m for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True) for m in self.pattern.finditer(buf, a, b)] if self.pattern.search(buf) else []
+        return np.array([m.start() for m in found], np.int64), np.array([m.end() for m in found], np.int64), [self.added[m[0]] for m in found]
 
     def lookup(self, pieces: Pieces, hashes: np.ndarray, firsts: np.ndarray) -> list[bytes]:
         if len(self.ids) > KNOWN_PIECES:
@@ -140,20 +163,33 @@ def _encoded(vocabulary: str, end_id: int | None, kind: str, edges: np.ndarray,
 
 def _ids(known: _Known, raw: np.ndarray, at: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and the number of each."""
-    pieces = split(raw, at)
+    begins, ends, added = known.cuts(raw, at)
+    parts = np.sort(np.concatenate([at, begins, ends]))  # added tokens and what lies between them
+    pieces = split(raw, parts)
+    first = pieces.first[np.searchsorted(parts, at)]  # of each text; empty parts have no pieces
     hashes = pieces.hashes()
     distinct, firsts, which = np.unique(hashes, return_index=True, return_inverse=True)
     own = known.lookup(pieces, distinct, firsts)
+    if added:  # the first piece of an added token stands for all of it
+        place = np.searchsorted(parts, begins, side="right") - 1
+        head, stop = pieces.first[place], pieces.first[place + 1]
+        inside = np.zeros(len(which) + 1, np.int64)
+        np.add.at(inside, head, 1)
+        np.add.at(inside, stop, -1)
+        numbers, number = np.unique(added, return_inverse=True)
+        which[np.cumsum(inside)[:-1] > 0] = len(own)
+        which[head] = len(own) + 1 + number
+        own += [b"", *[np.array([k], known.kind).tobytes() for k in numbers]]
     if end_id is not None:
         own.append(np.array([end_id], known.kind).tobytes())
-        which = np.insert(which, pieces.first[1:], len(own) - 1)
+        which = np.insert(which, first[1:], len(own) - 1)
     sizes = np.array([len(x) for x in own], np.int64) // np.dtype(known.kind).itemsize
     flat = np.frombuffer(b"".join(own), known.kind)
     begins = np.cumsum(sizes) - sizes
     count = sizes[which]
     upto = np.concatenate([[0], np.cumsum(count)])
     ids = flat[np.repeat(begins[which] - upto[:-1], count) + np.arange(upto[-1])]
-    edges = pieces.first + (np.arange(len(at)) if end_id is not None else 0)
+    edges = first + (np.arange(len(at)) if end_id is not None else 0)
     return ids, np.diff(upto[edges])
 
 

@@ -148,6 +148,21 @@ def test_token_files_edges(spark, docs, rows, nothing, tmp_path):
     assert tokenfiles.read_checks(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_token_files_added_tokens(spark, tmp_path):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, mark = Tokenizer.from_file(vocabulary), "<|endoftext|>"
+    texts = [
+        None, f"a{mark}b", mark, f"{mark}{mark}", "", f" é漢  {mark}  it's{mark}'s \n", f"<|endof{mark}text|>", "<|endoftext|", ">", f"x{mark}", "<|endoftext |>",
+        f"{mark} ", passage(6, 400) + mark + passage(7, 400),
+    ]
+    ids = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for end in (2, None):
+        path = f"{tmp_path}/{end}"
+        tokenfiles.write_ids(frame(spark, list(enumerate(texts))).coalesce(1), path, vocabulary, end_id=end)
+        got = sorted(tokenfiles.read_ids(spark, path).collect(), key=lambda r: r.doc_id)
+        assert [np.frombuffer(r.ids, "<u2").tolist() for r in got] == [x + [end] * (end is not None) for x in ids]
+
+
 def test_pieces_follow_the_pattern():
     import pyarrow as pa
     import regex
