@@ -94,6 +94,11 @@ def examples(conversations: DataFrame) -> DataFrame:
     )
 
 
+def trained(text: Column, start: Column, end: Column) -> Column:
+    """Unescaped text under the loss mask of one example."""
+    return F.regexp_replace(F.substring(text, start + 1, end - start), r"(?s)\\(.)", "$1")
+
+
 def trained_text(rows: pd.DataFrame) -> list[str]:
     """Unescaped text under the loss mask of each example."""
     return [

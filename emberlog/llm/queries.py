@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,21 +28,28 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)], rows.schema)
     out = chat.examples(rows.unionByName(more))
+    return _read_back(out)
+
+
+def _read_back(examples: DataFrame) -> DataFrame:
+    """Digests of each conversation, from its formatted examples alone; its turns are read from the last one."""
+    loss = F.coalesce(chat.trained(F.col("text"), F.col("loss_start"), F.col("loss_end")), F.lit(""))
+    rows = examples.select("conv_id", "example", "text", loss.alias("loss"), F.char_length("text").cast("long").alias("chars"))
+    found = rows.groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("last"), F.array_sort(F.collect_list(F.struct("example", "loss"))).alias("losses"), F.sum("chars").alias("formatted_chars"),
+    )
+    trained = F.array_join(F.transform("losses", lambda x: x["loss"]), "")
+    digests = found.select("conv_id", "last", F.char_length(trained).cast("long").alias("loss_chars"), F.sha2(trained, 256).alias("loss_sha256"), "formatted_chars")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return out.groupBy("conv_id").applyInPandas(_read_back, schema)
-
-
-def _read_back(rows: pd.DataFrame) -> pd.DataFrame:
-    """Digests of one conversation, from its formatted examples alone."""
-    rows = rows.sort_values("example")
-    turns = chat.read_turns(rows["text"].iloc[-1])
-    trained = "".join(chat.trained_text(rows))
-    whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
-    return pd.DataFrame({
-        "conv_id": rows["conv_id"].astype("Int64").to_numpy()[:1], "n_turns": [len(turns)], "turns_sha256": [digest(whole)],
-        "loss_chars": [len(trained)], "loss_sha256": [digest(trained)], "formatted_chars": [int(rows["text"].str.len().sum())],
-    })
+    return digests.mapInArrow(_turn_digests, schema)
+
+
+def _turn_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        talks = [chat.read_turns(text.as_py()) for text in batch.column(1)]
+        digests = [hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in turns).encode()).hexdigest() for turns in talks]
+        own = [pa.array([len(turns) for turns in talks], pa.int64()), pa.array(digests, pa.string())]
+        yield pa.record_batch([batch.column(0), *own, *batch.columns[2:]], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

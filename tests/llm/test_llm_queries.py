@@ -34,6 +34,11 @@ def test_op2(spark):
     assert got == brute.chat(rows)
 
 
+def test_op2_groups_no_examples_in_python(spark):
+    plan = QUERIES["op2_chat_format"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+
+
 def test_op3(spark):
     docs = table("doc_id, text", "documents")
     assert result(spark, "op3_substring_dedup", "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substring_dedup(docs)
