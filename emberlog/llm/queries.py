@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import bytebpe, chat, jaccard, langid, maintext, pstable, substrings, suffixes, tokenfiles, toxicity
+from emberlog.llm import bytebpe, chat, jaccard, langid, maintext, periodic, pstable, quality, substrings, suffixes, tokenfiles, toxicity, variants
+from emberlog.llm.expressions import let, spaced_words
 from emberlog.llm.oracles import ORACLES  # noqa: F401
 from emberlog.sources.scratch import scratch_dir
 
@@ -122,9 +123,50 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = quality.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *quality.BASE, "base_failed", "kept", F.round("quality", 6).alias("quality"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _with_repetition(F.col("doc_id"), F.col("text")).alias("text"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    out = periodic.collapsed(docs).withColumn("best", best)
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def _with_repetition(doc_id: Column, text: Column) -> Column:
+    """``text``; of every tenth document by hash its words, repeated with a period from a place on, both of the hash."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        at = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(words, lambda _, i: F.get(words, at(i))), " "))
+
+    return F.when(F.pmod(h, F.lit(10)) == 0, F.coalesce(let(spaced_words(text), repeated), text)).otherwise(text)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.explode(variants.runs_of_letters(F.col("text"))).alias("word"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "word").cast("binary"))
+    cut = F.pmod(h, F.char_length("word")).cast("int")
+    damaged = F.concat(F.left("word", cut), F.substring(F.col("word"), cut + 2, F.char_length("word")))
+    return variants.forms(variants.counted(docs.select(F.when(F.pmod(h, F.lit(199)) == 0, damaged).otherwise(F.col("word")).alias("word"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_chat_format, op3_substring_dedup, op4_language, op5_byte_bpe, op6_decontaminate, op7_token_files, op8_embedding_dedup, op9_toxicity, op10_html_text,
+        op11_quality_rules, op12_periodic_runs, op13_spelling_variants,
     )
 }

@@ -153,3 +153,76 @@ def article_text(page):
         return ""
     text = re.sub(r"<[^>]+>", "", re.sub(r"</?(p|br|h1)>", " ", inside[1]))
     return " ".join(html.unescape(text).split())
+
+
+def planted(doc, text):
+    """The words of a document as the query on runs takes them."""
+    w, h = spaced(text), zlib.crc32(str(doc).encode())
+    n, g = len(w), h // 10
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def runs(w, least=12):
+    """start, length, period of all runs, by start and period."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            start = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i - start >= q and i - start + q >= least:
+                found.setdefault((start, i + q), q)
+            i += 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def without_runs(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_variants(counts):
+    """form, root, n, n_near, form_n by word; every word compared with every other."""
+    near = {w: [x for x in counts if one_edit(w, x)] for w in counts}
+    best = {w: min(xs, key=lambda x: (-counts[x], x)) for w, xs in near.items() if xs}
+    form = {w: x for w, x in best.items() if counts[x] >= 5 * counts[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(near[w]), counts[form[w]] if w in form else None) for w, n in counts.items()}
+
+
+def damaged_words(docs):
+    counts = {}
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{doc}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 6:
+                counts[run] = counts.get(run, 0) + 1
+    return {w: n for w, n in counts.items() if n >= 5}
+
+
+def text_figures(text):
+    w, lines = spaced(text), [x for x in (text or "").split("\n") if spaced(x)]
+    windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+    again = {i + k for i, g in enumerate(windows) if windows.count(g) > 1 for k in range(5)}
+    symbols = sum((text or "").count(c) for c in "#*$%&|<>")
+    return len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(again)
