@@ -12,7 +12,7 @@ class Thresholds:
     """Cut-offs; every operator takes the whole object and reads its own field."""
 
     kmeans_anomaly: float = 0.7        # z-score based KMeans decision, score > x
-    ensemble_anomaly: float = 0.65     # combined decision, score > x
+    ensemble_anomaly: float = 0.65     # combined decision, score >= x
     live_anomaly: float = 0.6          # streaming detection, score > x
     live_critical: float = 0.8         # running counter of critical anomalies, score > x
     trained_anomaly: float = 0.4       # trained-model analysis, score > x

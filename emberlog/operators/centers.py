@@ -32,6 +32,7 @@ class CenterModel:
     distance_mean: float | None = None
     distance_std: float | None = None
     distance_max: float | None = None
+    large: Sequence[int] | None = None  # rows of other clusters are measured to the nearest of these; None: all to their own
 
     def scaled(self) -> list[Column]:
         """(x - mean) / deviation per feature; a constant feature becomes zero."""
@@ -43,7 +44,8 @@ class CenterModel:
     def assign(self, features: DataFrame) -> DataFrame:
         """Add ``cluster`` (nearest centre) and ``distance_to_center``.
 
-        Rows with a missing feature get NULL in both.
+        Rows with a missing feature get NULL in both.  If the model names its large
+        clusters, a row of any other is measured to the nearest large centre.
         """
         original = features.columns
         z = [f"_z{i}" for i in range(len(self.features))]
@@ -57,17 +59,21 @@ class CenterModel:
             for name, center in zip(d, self.centers)
         }
         with_d = with_z.withColumns(squares)
-        nearest = F.least(*[F.col(name) for name in d]) if len(d) > 1 else F.col(d[0])
+        nearest = _least([F.col(name) for name in d])
         index = reduce(
             lambda rest, j: F.when(F.col(d[j]) == nearest, j).otherwise(rest),
             reversed(range(len(d))),
             F.lit(None).cast("int"),
         )
+        measured = nearest
+        if self.large is not None:
+            ordinary = _least([F.col(d[j]) for j in self.large])
+            measured = F.when(index.isin(list(self.large)), nearest).otherwise(ordinary)
         return C.computed_once(
             with_d,
             {
                 "cluster": F.when(complete, index),
-                "distance_to_center": F.when(complete, F.sqrt(nearest)),
+                "distance_to_center": F.when(complete, F.sqrt(measured)),
             },
             original,
         )
@@ -77,6 +83,18 @@ class CenterModel:
         rare = [i for i, s in enumerate(self.cluster_shares) if s < share]
         return F.coalesce(F.col("cluster").isin(rare), F.lit(False)) if rare else F.lit(False)
 
+    def sized(self, features: DataFrame, share: float = Thresholds.rare_cluster_share) -> "CenterModel":
+        """The model with distances by cluster size, and the figures of these distances.
+
+        KMeans spends a centre on a row that is far from all others, so that the row has
+        distance 0.  What makes it odd is its distance to the clusters that hold at least
+        ``share`` of the rows; if none does, to the largest.
+        """
+        measured = self if len(self.cluster_shares) else self.with_figures(features)
+        shares = list(measured.cluster_shares)
+        large = [j for j, s in enumerate(shares) if s >= share] or [shares.index(max(shares))]
+        return replace(measured, large=large).with_figures(features)
+
     def with_figures(self, features: DataFrame) -> "CenterModel":
         """Measure distances and cluster shares on ``features`` in one pass."""
         row = (
@@ -95,6 +113,10 @@ class CenterModel:
         )
 
 
+def _least(columns: list[Column]) -> Column:
+    return F.least(*columns) if len(columns) > 1 else columns[0]
+
+
 def distance_stats_columns(distance: str = "distance_to_center") -> list[Column]:
     return [
         F.max(distance).alias("max_distance"),

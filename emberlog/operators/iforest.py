@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from emberlog.functions import fixed
 from emberlog.functions.params import Thresholds
+from emberlog.sources.scratch import staged
 
 _NODES = "tree int, node int, feature int, split double, below int, above int, path double"
-_POOL_MARGIN = 1.3
+_CIRCLE = 1 << 62  # places on the circle the rows are sampled from
+_DEVIATIONS = 10
 
 
 def average_path(n: float) -> float:
@@ -93,29 +95,49 @@ def _walk_tables(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def tree_samples(
     df: DataFrame, total: int, key: Sequence[str], trees: int, sample_size: int, seed: int
 ) -> DataFrame:
-    """At most ``sample_size`` rows per tree, chosen by hashes of a unique row key.
+    """The ``sample_size`` rows (all, if there are fewer) of every tree.
 
-    Hashes, not random numbers: the sample does not depend on partitioning and
-    is the same when a lost task is run again.  A large input gives each pool
-    row to one tree; an input smaller than the pool offers its rows to every tree.
+    One rule for every size: the hash of a unique row key puts each row on a circle, and a
+    tree takes the rows that follow its own place on it.  The places are equally far apart,
+    so trees share rows only where the input has fewer rows than all trees together take.
+    The sample does not depend on partitioning and is the same when a lost task is run again.
+
+    Rows beyond a tree's reach are dropped before anything is sent.  The reach holds
+    ``sample_size`` rows and ten deviations more; should a tree still
+    fall short, the reach is the whole circle.
     """
-    pool = _POOL_MARGIN * trees * sample_size
-    row_hash = F.xxhash64(*key, F.lit(seed))
-    if total > pool:
-        cut = int(-(2**63) + (pool / total) * 2**64)
-        offered = df.filter(row_hash < F.lit(cut)).withColumn(
-            "tree", F.pmod(F.xxhash64(*key, F.lit(seed + 1)), F.lit(trees)).cast("int")
-        )
-    else:
-        offered = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    wanted = min(sample_size, total)
+    reach = min(1.0, (wanted + _DEVIATIONS * math.sqrt(wanted) + 20) / max(total, 1))
+    samples = _rows_behind(df, reach, key, trees, wanted, seed)
+    if reach < 1.0:
+        counted = samples.groupBy("tree").agg(F.count("*").alias("n")).filter(F.col("n") >= wanted)
+        if counted.count() < trees:
+            samples = _rows_behind(df, 1.0, key, trees, wanted, seed)
+    return samples
+
+
+def _rows_behind(df: DataFrame, reach: float, key: Sequence[str], trees: int, wanted: int, seed: int) -> DataFrame:
+    """The first ``wanted`` rows behind the place of each tree, of those within ``reach`` of the circle."""
+    place = F.shiftrightunsigned(F.xxhash64(*key, F.lit(seed)), 2)
+    step = _CIRCLE // trees
+    far = min(_CIRCLE, int(reach * _CIRCLE))
+    at = df.withColumn("_at", place)
+    # the trees whose place lies in (_at - far, _at]; numbers below 0 are those before the start of the circle
+    last = F.least(F.floor(F.col("_at") / step), F.lit(trees - 1))
+    last = last - F.when(last * step > F.col("_at"), 1).otherwise(0)
+    first = F.greatest(F.ceil((F.col("_at") - far) / step), last - (trees - 1))
+    numbers = F.filter(F.sequence(first, last), lambda t: F.pmod(F.col("_at") - F.pmod(t, F.lit(trees)) * step, F.lit(_CIRCLE)) < far)
+    offered = at.filter(first <= last).withColumn("tree", F.explode(numbers)).withColumn("tree", F.pmod("tree", F.lit(trees)).cast("int"))
     order = Window.partitionBy("tree").orderBy("_rank", *key)
     # An explicit number keeps adaptive execution from packing all trees into one task.
     tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
-    return (
-        offered.repartition(tasks, "tree")
-        .withColumn("_rank", F.xxhash64(*key, "tree", F.lit(seed + 2)))
+    return staged(
+        offered.withColumn("_rank", F.pmod(F.col("_at") - F.col("tree").cast("long") * step, F.lit(_CIRCLE)))
+        .drop("_at")
+        .repartition(tasks, "tree")
         .withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") <= sample_size)
+        .filter(F.col("_place") <= wanted),
+        "forest-sample",
     )
 
 
@@ -184,5 +206,5 @@ def ensemble(
     )
     return scored.withColumn("final_anomaly_score", final).withColumn(
         "is_anomaly_final",
-        F.when(F.col("final_anomaly_score") > thresholds.ensemble_anomaly, 1).otherwise(0),
+        F.when(F.col("final_anomaly_score") >= thresholds.ensemble_anomaly, 1).otherwise(0),
     )

@@ -41,9 +41,9 @@ def fit_kmeans(
 ) -> tuple[PipelineModel, CenterModel]:
     """Fit assembler, scaler and KMeans; return the pipeline and the scoring model.
 
-    The features are small integers, so equal rows abound.  KMeans runs over
-    the distinct feature rows weighted by their counts: the same objective as
-    over all rows, with iterations that no longer grow with the log.
+    KMeans runs over the distinct feature rows weighted by their counts: the same
+    objective as over all rows.  That saves work where rows repeat; with features such
+    as hour, minute and response time they hardly do, and the iterations grow with the log.
     """
     rows = complete_rows(features, names)
     assemble = assembler(names)

@@ -29,7 +29,7 @@ from emberlog.sources import tables
 from emberlog.sources.scratch import staged
 
 RULES_TYPE, ML_TYPE = "pattern_spark", "spark_mllib"
-METHOD_LABELS = {RULES_TYPE: "Pattern Matching (Spark-accelerated)", ML_TYPE: "Spark MLlib"}
+METHOD_LABELS = {RULES_TYPE: "keyword and threshold rules", ML_TYPE: "clusters and isolation forest"}
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,13 @@ def analyze_ml(lines: DataFrame, options: AnalysisOptions = AnalysisOptions()) -
     if rows.isEmpty():
         return replace(analyze_rules(lines, options, stage=True), rejects=rejects)
     _, model = kmeans.fit_kmeans(rows, names)
+    model = model.sized(rows, options.thresholds.rare_cluster_share)
     forest = iforest.fit_isolation_forest(rows, names, ["file_id", "line_number"])
+    return _combined(rows, model, forest, rejects, options)
+
+
+def _combined(rows: DataFrame, model: centers.CenterModel, forest: iforest.IsolationForest, rejects: DataFrame, options: AnalysisOptions) -> Analysis:
+    """Analysis of complete rows by the scores of a cluster model and a forest."""
     scored = centers.zscore_scores(model.assign(rows), model, options.thresholds)
     scored = staged(iforest.ensemble(forest.score(scored), options.thresholds), "ensemble-scores")
     return _analysis(
@@ -131,6 +137,19 @@ def analyze_ml(lines: DataFrame, options: AnalysisOptions = AnalysisOptions()) -
     )
 
 
+def analyze_with(
+    lines: DataFrame, model: centers.CenterModel, forest: iforest.IsolationForest, options: AnalysisOptions = AnalysisOptions()
+) -> Analysis:
+    """The ML analysis by a cluster model and a forest fitted before; nothing is fitted here.
+
+    The features of the model and of the forest together decide which lines are complete.
+    """
+    names = list(dict.fromkeys([*model.features, *forest.features]))
+    features = staged(extract_features(valid_lines(parse_lines(lines))), "features")
+    rejects = rejected_rows(features, names).select("file_id", "line_number")
+    return _combined(complete_rows(features, names), model, forest, rejects, options)
+
+
 def trained_scores(
     lines: DataFrame,
     model: centers.CenterModel,

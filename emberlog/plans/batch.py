@@ -44,7 +44,7 @@ def per_file_results(
         "file_name",
         "file_size",
         ok.alias("success"),
-        F.when(~ok, "No valid logs found in file").alias("message"),
+        F.when(~ok, "no line of this file has a level and a service").alias("message"),
         F.coalesce("total_logs", F.lit(0)).alias("total_logs"),
         F.coalesce("anomalies_found", F.lit(0)).alias("anomalies_found"),
         F.coalesce("critical_alerts", F.lit(0)).alias("critical_alerts"),

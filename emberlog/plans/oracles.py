@@ -317,7 +317,7 @@ _REPORT_PARTS = [
     f"select 1, 0, '', 'Lines read: ' || format('{{:,}}', total_logs) from {_TOTALS}",
     f"select 1, 1, '', 'Lines marked: ' || format('{{:,}}', anomalies_found) from {_TOTALS}",
     f"select 1, 2, '', 'Alerts: ' || format('{{:,}}', {_ALERT_SUM}) from {_TOTALS}",
-    "select 1, 3, '', 'Method: Pattern Matching (Spark-accelerated)'",
+    "select 1, 3, '', 'Method: keyword and threshold rules'",
     _heading(2, "'Alerts by severity'"),
     f"select 2, 0, '', 'critical: ' || critical_alerts from {_TOTALS}",
     f"select 2, 1, '', 'high: ' || high_risk_alerts from {_TOTALS}",

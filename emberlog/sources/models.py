@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from emberlog.operators.centers import CenterModel
 from emberlog.operators.kmeans import center_model
 
-_FIGURES = "cluster_shares array<double>, distance_mean double, distance_std double, distance_max double"
+_FIGURES = "cluster_shares array<double>, distance_mean double, distance_std double, distance_max double, large array<int>"
 
 
 def save_model(spark: SparkSession, path: str, pipeline: PipelineModel | None, model: CenterModel | None) -> None:
@@ -18,7 +18,8 @@ def save_model(spark: SparkSession, path: str, pipeline: PipelineModel | None, m
     if pipeline is None or model is None:
         raise ValueError("no trained model to save")
     pipeline.write().overwrite().save(f"{path}/pipeline")
-    figures = [(list(model.cluster_shares), model.distance_mean, model.distance_std, model.distance_max)]
+    large = None if model.large is None else list(model.large)
+    figures = [(list(model.cluster_shares), model.distance_mean, model.distance_std, model.distance_max, large)]
     spark.createDataFrame(figures, _FIGURES).write.mode("overwrite").json(f"{path}/figures")
 
 

@@ -224,3 +224,65 @@ def test_trained_analysis_keeps_lines_without_features(lines):
     rows = {r.line_number: r.anomaly_score for r in result.scored.collect()}
     assert rows[2] == 0.5 and rows[1] < 0.5
     assert [r.line_number for r in result.rejects.collect()] == [2]
+
+
+@pytest.mark.parametrize("far", [1, 3, 10])
+def test_ml_analysis_marks_planted_outliers(lines, far):
+    """Rows far from all others are marked whether KMeans gives them a centre of their own or not, and no ordinary row is."""
+    good = [log_line(rt=100 + i % 7, ts=f"2024-01-01 10:{i % 60:02d}:00.000", message=f"request {i % 3}") for i in range(400)]
+    odd = [log_line(level="ERROR", ip="10.0.0.666", rt=9900 + i, message="critical deadlock: attack") for i in range(far)]
+    found = analyze.analyze(lines(*good, *odd), AnalysisOptions()).anomalies.collect()
+    assert {r.line_number for r in found} == set(range(401, 401 + far))
+    assert min(r.anomaly_score for r in found) > 0.8
+
+
+def test_rows_of_rare_clusters_are_measured_to_large_centres(spark):
+    rows = [(0.0,)] * 60 + [(1.0,)] * 39 + [(10.0,)]
+    df = spark.createDataFrame(rows, "a double")
+    plain = centers.CenterModel(["a"], [0], [1], [[0.0], [1.0], [10.0]]).with_figures(df)
+    assert plain.distance_max == 0.0
+    model = plain.sized(df, 0.05)
+    assert list(model.large) == [0, 1] and model.distance_max == 9.0
+    got = {r.a: (r.cluster, r.distance_to_center) for r in model.assign(df).collect()}
+    assert got == {0.0: (0, 0.0), 1.0: (1, 0.0), 10.0: (2, 9.0)}
+    # no cluster is large enough: all rows are measured to the largest
+    assert list(plain.sized(df, 0.9).large) == [0]
+
+
+def test_sized_model_round_trip(spark, planted, trained, tmp_path):
+    pipeline, model = trained
+    sized = model.sized(planted)
+    models.save_model(spark, str(tmp_path / "m"), pipeline, sized)
+    assert models.load_model(spark, str(tmp_path / "m"))[1] == sized
+
+
+@pytest.mark.parametrize("rows", [100, 2000, 33_000, 34_000])
+def test_one_sampling_rule_for_every_size(spark, rows):
+    """Each tree has its full sample on either side of any size, and the same at 1, 4 and 16 partitions."""
+    df = spark.range(rows).withColumn("a", F.xxhash64("id") / 2.0**63)
+    samples = []
+    for partitions in (1, 4, 16):
+        sample = iforest.tree_samples(df.repartition(partitions), rows, ["id"], trees=100, sample_size=256, seed=9)
+        counts = sample.groupBy("tree").count().agg(F.count("*"), F.min("count"), F.max("count")).first()
+        assert tuple(counts) == (100, min(rows, 256), min(rows, 256))
+        samples.append(sorted(map(tuple, sample.select("tree", "_place", "id").collect())))
+    assert samples[0] == samples[1] == samples[2]
+    used = {i for _, _, i in samples[0]}
+    assert len(used) > 0.9 * min(rows, 25_600 * (1 - math.exp(-rows / 25_600)))
+
+
+def test_rows_of_a_tree_are_those_behind_its_place(spark):
+    df = spark.range(500)
+    places = {r.id: r.h for r in df.select("id", F.shiftrightunsigned(F.xxhash64("id", F.lit(3)), 2).alias("h")).collect()}
+    sample = iforest.tree_samples(df, 500, ["id"], trees=7, sample_size=40, seed=3).collect()
+    for tree in range(7):
+        start = tree * (iforest._CIRCLE // 7)
+        want = sorted(places, key=lambda i: (places[i] - start) % iforest._CIRCLE)[:40]
+        assert [r.id for r in sorted(sample, key=lambda r: r._place) if r.tree == tree] == want
+
+
+def test_a_reach_that_falls_short_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(iforest, "_DEVIATIONS", -12)
+    df = spark.range(5000)
+    sample = iforest.tree_samples(df, 5000, ["id"], trees=5, sample_size=200, seed=1)
+    assert {r["count"] for r in sample.groupBy("tree").count().collect()} == {200}

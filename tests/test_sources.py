@@ -101,7 +101,7 @@ def test_batch_of_files(spark, log_dir):
     analysis, per_file = batch.analyze_directory(spark, str(log_dir), model)
     rows = {r.file_name: r for r in per_file.collect()}
     assert set(rows) == {"a.log", "b.log", "c.txt"}
-    assert not rows["c.txt"].success and rows["c.txt"].message == "No valid logs found in file"
+    assert not rows["c.txt"].success and rows["c.txt"].message == "no line of this file has a level and a service"
     assert rows["b.log"].success and rows["b.log"].total_logs == 2 and rows["b.log"].file_size > 0
     total = batch.batch_summary(per_file).first()
     assert (total.total_files, total.successful, total.failed) == (3, 2, 1)
