@@ -22,6 +22,7 @@ from emberlog.sources.scratch import staged
 _NODES = "tree int, node int, feature int, split double, below int, above int, path double"
 _CIRCLE = 1 << 62  # places on the circle the rows are sampled from
 _DEVIATIONS = 10
+SKETCH_K = 1600
 
 
 def average_path(n: float) -> float:
@@ -196,6 +197,31 @@ def contamination_flag(scored: DataFrame, share: float = Thresholds.contaminatio
     return scored.withColumn("is_outlier", F.when(F.col(score) >= cut.scalar(), 1).otherwise(0))
 
 
+def score_sketch(scored: DataFrame, score: str = "isolation_score", by: Sequence[str] = ()) -> DataFrame:
+    """One mergeable quantile sketch of the scores (per ``by`` group): some kilobytes, whatever the number of rows."""
+    return scored.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(score), F.lit(SKETCH_K)).alias("sketch"))
+
+
+def merged_sketch(sketches: DataFrame) -> DataFrame:
+    """One sketch of all rows that the sketches have seen."""
+    return sketches.agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_K)).alias("sketch"))
+
+
+def contamination_cut(sketch: DataFrame, share: float = Thresholds.contamination) -> float | None:
+    """The score from which the top ``share`` begins, to about 0.2 % of the rows; None without scores.
+
+    Taken once and kept with a model, it lets a stream mark its rows one by one.
+    """
+    row = sketch.select(F.expr(f"kll_sketch_get_quantile_double(sketch, {1.0 - share}D)").alias("cut")).first()
+    return None if row is None else row.cut
+
+
+def marked_from(scored: DataFrame, cut: float | None, score: str = "isolation_score") -> DataFrame:
+    """``is_outlier`` by a cut taken before: works on batches and streams."""
+    hit = F.lit(False) if cut is None else F.coalesce(F.col(score) >= cut, F.lit(False))
+    return scored.withColumn("is_outlier", hit.cast("int"))
+
+
 def ensemble(
     scored: DataFrame, thresholds: Thresholds = Thresholds()
 ) -> DataFrame:

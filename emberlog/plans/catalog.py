@@ -11,6 +11,8 @@ import math
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,17 @@ FIXED_CENTERS = [
     [3.5, 0.0, 0.0, 0.0, 0.0, 0.0, 5.0, 1.3],
 ]
 
+# A literal forest over four of the features: (tree, node, feature, split, below, above, path), -1 for a leaf.
+FOREST_FEATURES = ["response_time", "message_length", "level_error", "suspicious_ip"]
+FIXED_FOREST = [
+    (0, 0, 0, 700.0, 1, 2, 0.0), (0, 1, 2, 0.5, 3, 4, 0.0), (0, 2, 0, 1500.0, 5, 6, 0.0), (0, 3, -1, 0.0, 0, 0, 9.5),
+    (0, 4, -1, 0.0, 0, 0, 5.0), (0, 5, 3, 0.5, 7, 8, 0.0), (0, 6, -1, 0.0, 0, 0, 2.5), (0, 7, -1, 0.0, 0, 0, 6.5), (0, 8, -1, 0.0, 0, 0, 3.0),
+    (1, 0, 3, 0.5, 1, 2, 0.0), (1, 1, 1, 16.5, 3, 4, 0.0), (1, 2, 0, 400.0, 5, 6, 0.0), (1, 3, 0, 250.0, 7, 8, 0.0),
+    (1, 4, 2, 0.5, 9, 10, 0.0), (1, 5, -1, 0.0, 0, 0, 4.0), (1, 6, -1, 0.0, 0, 0, 2.0), (1, 7, -1, 0.0, 0, 0, 10.0),
+    (1, 8, -1, 0.0, 0, 0, 8.5), (1, 9, -1, 0.0, 0, 0, 7.0), (1, 10, -1, 0.0, 0, 0, 4.5),
+    (2, 0, 1, 20.5, 1, 2, 0.0), (2, 1, -1, 0.0, 0, 0, 9.0), (2, 2, 0, 900.0, 3, 4, 0.0), (2, 3, -1, 0.0, 0, 0, 6.0), (2, 4, -1, 0.0, 0, 0, 1.5),
+]
+
 # Rotation of the text files that source and streaming queries write and read.
 LINES_PER_FILE = 4000
 LINES_PER_STREAM_FILE = 1_000_000
@@ -128,6 +141,18 @@ def fixed_assignment(spark: SparkSession, sf: str) -> DataFrame:
     return fixed_model(spark, complete_rows(rows)).assign(rows)
 
 
+def fixed_forest() -> iforest.IsolationForest:
+    nodes = pd.DataFrame(FIXED_FOREST, columns=["tree", "node", "feature", "split", "below", "above", "path"])
+    return iforest.IsolationForest(FOREST_FEATURES, fixed.ISOLATION_SAMPLE, nodes)
+
+
+def fixed_analysis(spark: SparkSession, sf: str) -> analyze.Analysis:
+    """The ML analysis with the literal centres, their distances by cluster size, and the literal forest."""
+    rows = complete_rows(staged_numbers(spark, sf))
+    model = fixed_model(spark, rows).sized(rows)
+    return analyze.analyze_with(log_lines(spark, sf), model, fixed_forest())
+
+
 def stream_model(spark: SparkSession, sf: str) -> centers.CenterModel:
     """The literal centres, with the standardisation taken in one pass over the lines."""
     fields = ("level", "message", "service", "ip_address", "response_time")
@@ -150,13 +175,16 @@ def results(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
     return [tables.read_table(spark, root, name) for name in names]
 
 
-def log_directory(spark: SparkSession, sf: str) -> str:
-    """The lines as rotated text files, one folder per file, in line order."""
+def log_directory(spark: SparkSession, sf: str, corrupt_apart: bool = False) -> str:
+    """The lines as rotated text files, one folder per file, in line order.
+
+    ``corrupt_apart``: corrupt records go to files of their own, in which no line is valid.
+    """
     path = scratch_dir(spark, "logs")
     number = F.floor((F.col("line_number") - 1) / LINES_PER_FILE)
     (
         log_lines(spark, sf)
-        .withColumn("file", F.concat(F.lit("server-"), F.lpad(number.cast("string"), 9, "0")))
+        .withColumn("file", F.concat(_rotated_prefix(corrupt_apart), F.lpad(number.cast("string"), 9, "0")))
         .repartition("file")
         .sortWithinPartitions("file", "line_number")
         .select("file", "value")
@@ -166,6 +194,10 @@ def log_directory(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _rotated_prefix(corrupt_apart: bool):
+    return F.when(F.lit(corrupt_apart) & F.col("value").startswith("corrupt record"), "corrupt-").otherwise("server-")
+
+
 def rotated_name():
     """Name of the rotated file a scanned line comes from."""
     return F.regexp_extract("file_path", "file=([^/]+)/", 1).alias("file")
@@ -722,6 +754,64 @@ def ensemble_counts(spark, sf):
     return A.counts_by(analyze.analyze_ml(log_lines(spark, sf)).scored, "is_anomaly_final")
 
 
+@query
+def isolation_fixed_forest(spark, sf):
+    rows = staged_numbers(spark, sf)
+    return fixed_forest().score(rows).select("file_id", "line_number", "isolation_score")
+
+
+_COMBINED = ["file_id", "line_number", "anomaly_score", "isolation_score", "final_anomaly_score", "is_anomaly", "is_anomaly_final"]
+
+
+@query
+def ensemble_fixed(spark, sf):
+    """Both scores and the decision of every complete line, with literal centres and trees."""
+    return fixed_analysis(spark, sf).scored.select(*_COMBINED)
+
+
+@query
+def ensemble_fixed_counts(spark, sf):
+    return A.counts_by(fixed_analysis(spark, sf).scored, "is_anomaly_final")
+
+
+@query
+def analyze_ml_fixed(spark, sf):
+    """Anomalies of the ML analysis, with literal centres and trees."""
+    return fixed_analysis(spark, sf).anomalies
+
+
+@query
+def kmeans_invariants(spark, sf):
+    """Of the fitted clusters: scored rows, rows nearer to another centre than to their own, cluster shares that do not add up."""
+    rows = complete_rows(staged_numbers(spark, sf))
+    pipeline, model = kmeans.fit_kmeans(rows)
+    vectors = pipeline.transform(rows)
+    z = vector_to_array("features")
+    own = F.col("cluster")
+    squares = [F.aggregate(F.zip_with(z, F.lit(list(c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b) for c in model.centers]
+    nearest = F.least(*squares)
+    mine = F.element_at(F.array(*squares), own + 1)
+    shares = sum(model.cluster_shares)
+    return vectors.agg(
+        F.count("*").alias("scored_rows"), F.count_if(mine > nearest + 1e-9).alias("nearer_elsewhere"),
+        F.lit(int(abs(shares - 1) > 1e-9)).cast("bigint").alias("shares_off"), F.lit(len(model.centers)).cast("bigint").alias("centers"),
+    )
+
+
+@query
+def contamination_sketch(spark, sf):
+    """Rows of the literal forest by file, sketched per file and merged: lines, and whether the marked share is within the bound."""
+    scored = staged(fixed_forest().score(complete_rows(staged_numbers(spark, sf))).select("file_id", "isolation_score"), "isolation")
+    cut = iforest.contamination_cut(iforest.merged_sketch(iforest.score_sketch(scored, by=["file_id"])))
+    marked = iforest.marked_from(scored, cut)
+    above = F.count_if(F.col("isolation_score") > cut) / F.count("*")
+    from_cut = F.count_if(F.col("is_outlier") == 1) / F.count("*")
+    share = Thresholds.contamination
+    return marked.agg(
+        F.count("*").alias("lines"), (from_cut >= share - 0.005).alias("at_least_the_share"), (above <= share + 0.005).alias("no_more_above"),
+    )
+
+
 @query
 def model_roundtrip(spark, sf):
     """Rows that a saved and loaded model scores differently from the trained one."""
@@ -817,10 +907,25 @@ def file_inventory(spark, sf):
 def batch_directory(spark, sf):
     """Every file of a directory analysed in one job: totals over the per-file results."""
     _, model = figured_assignment(spark, sf)
-    _, per_file = batch.analyze_directory(spark, log_directory(spark, sf), model, nested=True)
+    _, per_file = batch.analyze_directory(spark, log_directory(spark, sf, corrupt_apart=True), model, nested=True)
     return batch.batch_summary(per_file)
 
 
+@query
+def file_identity(spark, sf):
+    """Per file: whether its identity has the form name, time, path hash, and its lines."""
+    lines = textlogs.scan_log_files(spark, log_directory(spark, sf), nested=True)
+    form = F.col("file_id").rlike("^part-[^/]+[.]txt_[0-9]{9,}_[0-9A-F]+$")
+    return lines.groupBy(rotated_name()).agg(F.count_distinct("file_id").alias("identities"), F.bool_and(form).alias("well_formed"), F.count("*").alias("line_count"))
+
+
+@query
+def file_sizes(spark, sf):
+    """Files of the inventory by folder, with their length; newest first by time, so that no file follows a newer one."""
+    rows = inventory.file_inventory(spark, log_directory(spark, sf))
+    return rows.select(F.regexp_extract("path", "file=([^/]+)/", 1).alias("file"), "length")
+
+
 # ------------------------------------------------------------------ streams
 
 

@@ -5,7 +5,7 @@ They are written against the same tables, independently of the Spark plans.
 
 from __future__ import annotations
 
-from emberlog.plans.catalog import FIXED_CENTERS, LINES_PER_FILE, REPORT_ID
+from emberlog.plans.catalog import FIXED_CENTERS, FIXED_FOREST, FOREST_FEATURES, LINES_PER_FILE, REPORT_ID
 from emberlog.sources.event_lines import duckdb_log_lines
 
 _TS = "'%Y-%m-%d %H:%M:%S.%g'"
@@ -134,7 +134,7 @@ _CTES: list[tuple[str, str]] = [
     (
         "links",
         """select src as source, dst as target, weight as value from all_edges
- where src in (select id from named_nodes) and dst in (select id from named_nodes)""",
+ semi join named_nodes s on src = s.id semi join named_nodes d on dst = d.id""",
     ),
 ]
 
@@ -143,6 +143,21 @@ _FEATURES = [
     "message_length", "has_error_keyword", "suspicious_ip", "high_response_time",
 ]
 
+
+
+def _path(tree: int, node: int = 0) -> str:
+    """Path length of a row in a literal tree, as nested cases."""
+    _, _, feature, split, below, above, path = next(r for r in FIXED_FOREST if r[:2] == (tree, node))
+    if feature < 0:
+        return f"{path}::double"
+    return f"case when {FOREST_FEATURES[feature]} < {split} then {_path(tree, below)} else {_path(tree, above)} end"
+
+
+_TREES = sorted({r[0] for r in FIXED_FOREST})
+# c(256) = 2 H(255) - 2 * 255 / 256 with H(n) = ln(n) + 0.5772156649015329
+_ISOLATION = f"pow(2::double, -(({' + '.join(_path(t) for t in _TREES)}) / {len(_TREES)}) / (2 * (ln(255::double) + 0.5772156649015329) - 2 * 255 / 256.0::double))"
+_LARGE = [f"case when {j} in (select cluster from large) then d{j} end" for j in range(len(FIXED_CENTERS))]
+
 _CTES += [
     ("complete", "select * from features where response_time is not null"),
     (
@@ -202,12 +217,36 @@ _CTES += [
         "enhanced",
         """select *, least(base + case when cluster in (select cluster from rare) then 0.2::double else 0 end
   + slow_part + service_part + ip_part, 1) as enhanced from boosted""",
+    ),
+    (
+        "sizes",
+        "select cluster, count(*) as n from assigned where cluster is not null group by cluster",
+    ),
+    (
+        "large",
+        "select cluster from sizes where n >= least(0.05 * (select sum(n) from sizes), (select max(n) from sizes))",
+    ),
+    (
+        "measured",
+        f"""select *, case when cluster in (select cluster from large) then distance_to_center
+  else sqrt(least({", ".join(_LARGE)})) end as sized_distance from assigned where cluster is not null""",
+    ),
+    (
+        "sized_figures",
+        "select avg(sized_distance) as mean_d, coalesce(nullif(stddev_samp(sized_distance), 0), 1) as std_d from measured",
+    ),
+    (
+        "combined",
+        f"""select *, 0.6::double * kmeans_score + 0.4::double * isolation_score as final_score from (
+ select *, greatest(0, least(1, ((sized_distance - mean_d) / std_d + 3) / 6)) as kmeans_score, {_ISOLATION} as isolation_score
+ from measured cross join sized_figures)""",
     ),
     (
         "rotated",
         f"""select 'server-' || lpad(((line_number - 1) // {LINES_PER_FILE})::varchar, 9, '0') as file,
   line_number, value from log_lines""",
     ),
+    ("spoiled", "select distinct file from rotated where starts_with(value, 'corrupt record')"),
     (
         "rotated_valid",
         """select r.file, p.level from rotated r join valid p using (line_number)""",
@@ -530,6 +569,15 @@ _BODIES: dict[str, str] = {
  round(least(base + case when cluster >= 3 then 0.2::double else 0 end + slow_part + service_part + ip_part, 1), 6) as anomaly_score
  from boosted""",
     "trained_statistics": _ENHANCED_STATS,
+    "isolation_fixed_forest": f"""select file_id, line_number,
+ case when response_time is not null then round({_ISOLATION}, 6) end as isolation_score from features""",
+    "ensemble_fixed": """select file_id, line_number, round(kmeans_score, 6) as anomaly_score, round(isolation_score, 6) as isolation_score,
+ round(final_score, 6) as final_anomaly_score, (kmeans_score > 0.7::double)::int as is_anomaly, (final_score >= 0.65::double)::int as is_anomaly_final from combined""",
+    "ensemble_fixed_counts": "select (final_score >= 0.65::double)::int as is_anomaly_final, count(*) as log_count from combined group by 1",
+    "analyze_ml_fixed": f"""select {_PARSED}, round(final_score, 6) as anomaly_score, 'spark_mllib' as analysis_type, cluster
+ from combined where final_score >= 0.65::double""",
+    "kmeans_invariants": "select count(*) as scored_rows, 0::bigint as nearer_elsewhere, 0::bigint as shares_off, 5::bigint as centers from complete",
+    "contamination_sketch": "select count(*) as lines, true as at_least_the_share, true as no_more_above from complete",
     "model_roundtrip": "select count(*) - count(*) as differing_rows from log_lines",
     "pipeline_agreement": "select count(*) as scored_rows, 0::bigint as differing_rows from complete",
     "ml_line_counts": """select count(*) filter (response_time is not null and timestamp is not null) as scored_lines,
@@ -544,8 +592,10 @@ _BODIES: dict[str, str] = {
  from rotated_valid group by file""",
     "line_counts": "select file as file_id, count(*) as line_count from rotated group by file",
     "line_numbers": """select file, row_number() over (partition by file order by line_number) as line_number, value from rotated""",
-    "batch_directory": """select count(distinct file) as total_files, count(distinct file) as successful, 0::bigint as failed,
- (select count(*) from enhanced where enhanced > 0.4::double) as total_anomalies from rotated_valid""",
+    "batch_directory": """select count(distinct file) + (select count(*) from spoiled) as total_files, count(distinct file) as successful,
+ (select count(*) from spoiled) as failed, (select count(*) from enhanced where enhanced > 0.4::double) as total_anomalies from rotated_valid""",
+    "file_identity": "select file, 1::bigint as identities, true as well_formed, count(*) as line_count from rotated group by file",
+    "file_sizes": "select file, sum(strlen(value) + 1)::bigint as length from rotated group by file",
     "stream_detect": f"""select {_ts()}, level, service, message, ip_address, "user", response_time,
  round(base, 6) as anomaly_score from linear where base > 0.6::double""",
     "stream_statistics": f"""{_COUNTS}, count(distinct service) filter (s > 0.6::double) as services_affected,
