@@ -983,18 +983,18 @@ def _streamed_windows(spark, sf, *frame: str) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    return _windows(spark.read.parquet(out))
+    return _windows(detect.all_windows(spark, out, checkpoint))
 
 
 @query
 def stream_windows(spark, sf):
-    """Windows closed by the watermark in a streaming run over all lines."""
+    """All windows of a streaming run over all lines: those closed by the watermark and those open at its end."""
     return _streamed_windows(spark, sf, "1 minute")
 
 
 @query
 def stream_sliding(spark, sf):
-    """Sliding windows closed by the watermark."""
+    """Sliding windows of a streaming run, closed and open."""
     return _streamed_windows(spark, sf, detect.WINDOW, detect.SLIDE)
 
 

@@ -602,11 +602,9 @@ _BODIES: dict[str, str] = {
  count(distinct ip_address) filter (s > 0.6::double) as suspicious_ips
  from (select base as s, service, ip_address from linear)""",
     "running_counters": f"{_COUNTS} from (select base as s from linear)",
-    "stream_sliding": f"""select * from ({_windows(_SLIDING)})
- where window_end <= strftime((select max(timestamp) from valid) - interval 10 minute, {_TS})""",
+    "stream_sliding": _windows(_SLIDING),
     "stream_graph": "select src as source, dst as target, weight as value from edges",
-    "stream_windows": f"""select * from ({_windows(_TUMBLING)})
- where window_end <= strftime((select max(timestamp) from valid) - interval 10 minute, {_TS})""",
+    "stream_windows": _windows(_TUMBLING),
 }
 
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in _BODIES.items()}

@@ -10,6 +10,9 @@ from emberlog.sources.scratch import staged
 
 LOG_FILE_GLOB = "*.{log,txt}"
 
+# Bytes of text of one micro-batch, unless the caller says otherwise.
+STREAM_BATCH_BYTES = "64g"
+
 # The block table is one row per input split.  Up to this many rows (some 200 MB)
 # it is broadcast; beyond, the join is left to Spark.
 MAX_BROADCAST_BLOCKS = 1_000_000
@@ -55,15 +58,21 @@ def scan_log_files(spark: SparkSession, paths: str | list[str], nested: bool = F
     )
 
 
-def stream_lines(spark: SparkSession, directory: str, max_files: int | None = None) -> DataFrame:
+def stream_lines(
+    spark: SparkSession, directory: str, max_files: int | None = None, max_bytes: str = STREAM_BATCH_BYTES
+) -> DataFrame:
     """Streaming ``value STRING`` over files placed atomically in a directory.
 
     Every file is read once; checkpoint offsets say which ones are done.
-    Appending to a file already seen is not picked up.
+    Appending to a file already seen is not picked up.  A batch takes files up to
+    ``max_bytes``, so a first batch over a full directory is no larger than any other;
+    ``max_files`` limits by number instead.
     """
     reader: DataStreamReader = log_files(spark.readStream, nested=True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.text(directory)
 
 
