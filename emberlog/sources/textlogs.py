@@ -11,7 +11,7 @@ from emberlog.sources.scratch import staged
 LOG_FILE_GLOB = "*.{log,txt}"
 
 # Bytes of text of one micro-batch, unless the caller says otherwise.
-STREAM_BATCH_BYTES = "64g"
+STREAM_BATCH_BYTES = 64 << 30
 
 # The block table is one row per input split.  Up to this many rows (some 200 MB)
 # it is broadcast; beyond, the join is left to Spark.
@@ -59,7 +59,7 @@ def scan_log_files(spark: SparkSession, paths: str | list[str], nested: bool = F
 
 
 def stream_lines(
-    spark: SparkSession, directory: str, max_files: int | None = None, max_bytes: str = STREAM_BATCH_BYTES
+    spark: SparkSession, directory: str, max_files: int | None = None, max_bytes: int = STREAM_BATCH_BYTES
 ) -> DataFrame:
     """Streaming ``value STRING`` over files placed atomically in a directory.
 

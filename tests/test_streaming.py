@@ -228,7 +228,7 @@ def test_a_batch_without_manifest_does_not_count(spark, dirs, monkeypatch):
 
 def test_batches_are_limited_by_bytes(spark, dirs):
     fill(dirs, 0, 4)
-    lines = textlogs.stream_lines(spark, str(dirs["in"]), max_bytes="1")
+    lines = textlogs.stream_lines(spark, str(dirs["in"]), max_bytes=1)
     detect.start_detection(lines, MODEL, str(dirs["sink"]), str(dirs["ckpt"]), interval=None, graph_every=0).awaitTermination()
     assert manifest.newest(spark, str(dirs["sink"])).batch_id == 3
 
