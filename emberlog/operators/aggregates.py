@@ -172,6 +172,48 @@ def error_patterns(anomalies: DataFrame) -> DataFrame:
     )
 
 
+def _seen_columns() -> list[Column]:
+    return [F.count("*").alias("anomaly_count"), F.min("timestamp").alias("first_seen"), F.max("timestamp").alias("last_seen")]
+
+
+def _day() -> Column:
+    return F.to_date("timestamp").alias("day")
+
+
+def entity_summary(anomalies: DataFrame) -> DataFrame:
+    """Services and addresses of anomalies by file and day: count, first and last time.
+
+    Rows of any files and days add up (:func:`summed`), so lists over a whole log are sums of
+    small stored tables instead of a pass over all anomalies. Undated rows have a null day.
+    """
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("entity")) for k in ("service", "ip_address")])
+    rows = anomalies.select("file_id", "timestamp", F.inline(kinds)).filter(F.col("entity") != "")
+    return rows.groupBy("file_id", _day(), "kind", "entity").agg(*_seen_columns())
+
+
+def pattern_summary(anomalies: DataFrame) -> DataFrame:
+    """Messages of ERROR anomalies by file and day: count, first and last time."""
+    rows = anomalies.select("file_id", "timestamp", error_pattern().alias("pattern")).filter(F.col("pattern").isNotNull())
+    return rows.groupBy("file_id", _day(), "pattern").agg(*_seen_columns())
+
+
+def summed(summary: DataFrame, *by: str) -> DataFrame:
+    """A stored summary over fewer keys."""
+    return summary.groupBy(*by).agg(
+        F.sum("anomaly_count").alias("anomaly_count"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
+    )
+
+
+def list_sizes(entities: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Numbers of services, addresses and error patterns of each file, from the stored lists."""
+    kinds = summed(entities, "file_id", "kind", "entity").groupBy("file_id").agg(
+        F.count_if(F.col("kind") == "service").alias("services_count"), F.count_if(F.col("kind") == "ip_address").alias("suspicious_ips_count")
+    )
+    messages = summed(patterns, "file_id", "pattern").groupBy("file_id").agg(F.count("*").alias("error_patterns_count"))
+    sizes = kinds.join(messages, "file_id", "full")
+    return sizes.select("file_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("services_count", "suspicious_ips_count", "error_patterns_count")])
+
+
 def distinct_entities(anomalies: DataFrame) -> DataFrame:
     """Services and addresses seen among anomalies, one row each.
 

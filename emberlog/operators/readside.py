@@ -178,11 +178,16 @@ def recent_anomalies(anomalies: DataFrame, n: int = 100) -> DataFrame:
     ).limit(n)
 
 
+def file_name(file_id: Column | str = "file_id") -> Column:
+    """Name of the file an analysis belongs to: its identity without time and path hash."""
+    return F.regexp_replace(file_id, r"(_\d{9,}_[0-9A-F]+|_\d+)$", "")
+
+
 def analysis_list(statistics: DataFrame) -> DataFrame:
     """One row per analysis, newest first."""
     return statistics.select(
         "file_id",
-        F.regexp_replace("file_id", r"(_\d{9,}_[0-9A-F]+|_\d+)$", "").alias("filename"),
+        file_name().alias("filename"),
         "analysis_completed",
         "status",
         "total_logs",

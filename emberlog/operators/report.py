@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from emberlog.functions import columns as C
 from emberlog.functions import fixed
 from emberlog.operators import aggregates as A
+from emberlog.operators import readside
 from emberlog.operators.readside import alert_order
 
 # Report rows are ordered by these three columns.
@@ -33,6 +34,7 @@ def report_lines(
 ) -> DataFrame:
     """All report rows.  Inputs are result tables, which hold the whole lists; ``limits`` says how much of them is shown."""
     totals = statistics.agg(
+        *_origin(statistics),
         *[
             F.coalesce(F.sum(c), F.lit(0)).alias(c)
             for c in (
@@ -51,6 +53,16 @@ def report_lines(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _origin(statistics: DataFrame) -> list[Column]:
+    """What the records say of the run; records that were not written yet say less."""
+    kinds = {"file_id": "string", "analysis_completed": "timestamp", "processing_time": "double"}
+    have = {c: F.col(c) if c in statistics.columns else F.lit(None).cast(kind) for c, kind in kinds.items()}
+    return [
+        F.count_distinct(have["file_id"]).alias("files"), F.min(readside.file_name(have["file_id"])).alias("first_file"),
+        F.max(have["analysis_completed"]).alias("completed"), F.max(have["processing_time"]).alias("seconds"),
+    ]
+
+
 def ordered_report(lines: DataFrame) -> DataFrame:
     """Report text in order, ready for the text sink."""
     return lines.orderBy(*ORDER).select(F.col("line").alias("value"))
@@ -86,6 +98,12 @@ def _fixed_rows(totals: DataFrame, title_id: str, method: str, limits: Limits) -
 
     head = [double_rule, fixed.REPORT_TITLE, double_rule, "", f"Analysis: {title_id}"]
     rows = [_row(_HEAD, i, text) for i, text in enumerate(head)]
+    origin = [
+        F.when(F.col("files") == 1, F.concat(F.lit("Source: "), "first_file")).when(F.col("files") > 1, F.format_string("Source: %d files", "files")),
+        F.concat(F.lit("Analysed: "), F.date_format("completed", "yyyy-MM-dd HH:mm:ss")),
+        F.when(F.col("seconds").isNotNull(), F.format_string("Seconds taken: %.2f", "seconds")),
+    ]
+    rows += [_row(_HEAD, len(head) + i, line) for i, line in enumerate(origin)]
     summary = [
         number("Lines read", "total_logs"),
         number("Lines marked", "anomalies_found"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.functions import columns as C
@@ -68,8 +68,9 @@ def trained_statistics(
     score: str = "anomaly_score",
     top_ips: int = 10,
     thresholds: Thresholds = Thresholds(),
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One record: volumes, severity bands, response time, time range, busiest addresses.
+    """One record (per ``by`` group): volumes, severity bands, response time, time range, busiest addresses.
 
     The rows are reduced to one row per address first; the totals and the top
     list are both taken from that small table, so the log is read once.
@@ -78,7 +79,7 @@ def trained_statistics(
     hit = s > thresholds.trained_anomaly
     bands = A.severity_counts(F.when(hit, s), floor=thresholds.trained_anomaly)
     per_ip = staged(
-        scored.groupBy("ip_address").agg(
+        scored.groupBy(*by, "ip_address").agg(
             F.count("*").alias("total_logs"),
             F.count_if(hit).alias("anomalies_found"),
             *bands,
@@ -92,21 +93,10 @@ def trained_statistics(
         ),
         "per-address",
     )
-    busiest = (
-        per_ip.orderBy(F.desc("total_logs"), "ip_address")
-        .limit(top_ips)
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct((-F.col("total_logs")).alias("n"), "ip_address"))),
-                lambda e: e["ip_address"],
-            ).alias("top_ips")
-        )
-    )
-
     def total(name: str, alias: str | None = None) -> Column:
         return F.coalesce(F.sum(name), F.lit(0)).alias(alias or name)
 
-    return per_ip.agg(
+    totals = per_ip.groupBy(*by).agg(
         total("total_logs"),
         total("anomalies_found"),
         total("critical", "critical_alerts"),
@@ -119,7 +109,19 @@ def trained_statistics(
         F.max("max_response_time").alias("max_response_time"),
         F.min("start_time").alias("start_time"),
         F.max("end_time").alias("end_time"),
-    ).withColumn("top_ips", busiest.scalar())
+    )
+    if not by:
+        return totals.withColumn("top_ips", _listed(per_ip.orderBy(F.desc("total_logs"), "ip_address").limit(top_ips)).scalar())
+    # each task keeps the first rows of a group before they are sent
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("total_logs"), "ip_address"))
+    busiest = per_ip.withColumn("place", place).filter(F.col("place") <= top_ips)
+    return totals.join(_listed(busiest, *by), list(by))
+
+
+def _listed(busiest: DataFrame, *by: str) -> DataFrame:
+    """Addresses as one array, most lines first."""
+    rows = F.array_sort(F.collect_list(F.struct((-F.col("total_logs")).alias("n"), "ip_address")))
+    return busiest.groupBy(*by).agg(F.transform(rows, lambda e: e["ip_address"]).alias("top_ips"))
 
 
 def file_totals(per_file: DataFrame) -> DataFrame:

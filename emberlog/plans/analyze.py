@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.functions import fixed
-from emberlog.functions.params import AnalysisOptions
+from emberlog.functions.params import AnalysisOptions, Thresholds
 from emberlog.operators import centers, iforest, kmeans, rules
-from emberlog.operators.aggregates import TREND_FEATURES, TREND_FIELDS, service_trend
+from emberlog.operators.aggregates import TREND_FEATURES, TREND_FIELDS, entity_summary, pattern_summary, service_trend
 from emberlog.operators.parse import (
     complete_rows,
     extract_features,
@@ -24,7 +24,7 @@ from emberlog.operators.parse import (
     rejected_rows,
     valid_lines,
 )
-from emberlog.operators.statistics import analysis_statistics
+from emberlog.operators.statistics import analysis_statistics, trained_statistics
 from emberlog.sources import tables
 from emberlog.sources.scratch import staged
 
@@ -43,26 +43,50 @@ class Analysis:
     rejects: DataFrame      # lines a model cannot score
     analysis_type: str
     started: float = field(default_factory=time.time)
+    trained: bool = False   # by a model trained before, with summaries per file
+    thresholds: Thresholds = Thresholds()
 
-    def write(self, root: str, only: tuple[str, ...] = tables.ALL) -> None:
-        """Write the result tables, replacing only the partitions of these files.
+    def write(self, root: str, only: tuple[str, ...] = tables.ALL, keep_former: bool = False) -> None:
+        """Write the result tables of these files as a new run, and its commit last.
 
-        A commit of every file and table written comes last and names the current run:
-        a run without anomalies hides those of the run before, and tables that this
+        Until the commit readers see the run before, which is removed afterwards unless
+        it is to be kept: a run without anomalies hides those of the run before, and tables that this
         run does not write stay as they are.
         """
-        run = uuid.uuid4().hex
+        run = f"r{uuid.uuid4().hex}"
         rows = {
-            tables.ANOMALIES: self.anomalies,
-            tables.ALERTS: self.alerts,
-            tables.REJECTS: self.rejects,
+            tables.ANOMALIES: lambda: self.anomalies,
+            tables.ALERTS: lambda: self.alerts,
+            tables.REJECTS: lambda: self.rejects,
+            tables.STATISTICS: self._labelled,
+            tables.ENTITIES: self.entities,
+            tables.PATTERNS: self.error_patterns,
         }
-        for name, df in rows.items():
-            if name in only:
-                tables.write_table(df, root, name, run)
-        if tables.STATISTICS in only:
-            tables.write_table(self._labelled(), root, tables.STATISTICS, run)
-        tables.write_commits(self.statistics.select("file_id"), root, only, run)
+        if self.trained:
+            rows[tables.SUMMARIES] = self.summaries
+        written = {}
+        for name in only:
+            if name in rows:
+                table = rows[name]()
+                tables.write_table(table, root, name, run)
+                written[name] = table.schema
+        files = self.statistics.select("file_id")
+        tables.write_commits(files, root, written, run)
+        if not keep_former:
+            for name in written:
+                tables.remove_former_runs(self.anomalies.sparkSession, root, name, files)
+
+    def entities(self) -> DataFrame:
+        """Services and addresses of the anomalies by file and day."""
+        return entity_summary(self.anomalies)
+
+    def error_patterns(self) -> DataFrame:
+        """Error messages of the anomalies by file and day."""
+        return pattern_summary(self.anomalies)
+
+    def summaries(self) -> DataFrame:
+        """Volumes, bands, response time, time range and busiest addresses per file, of a trained analysis."""
+        return trained_statistics(self.scored, thresholds=self.thresholds, by=("file_id",))
 
     def _labelled(self) -> DataFrame:
         return self.statistics.withColumns(
@@ -183,9 +207,10 @@ def analyze_trained(
     if options.anomaly_threshold is not None:
         cut = options.anomaly_threshold
     rejects = scored.filter(F.col("cluster").isNull()).select("file_id", "line_number")
-    return _analysis(
+    done = _analysis(
         scored, F.col("anomaly_score") > cut, ML_TYPE, options, rejects, cluster=F.col("cluster")
     )
+    return replace(done, trained=True, thresholds=replace(options.thresholds, trained_anomaly=cut))
 
 
 def historical_report(lines: DataFrame) -> DataFrame:

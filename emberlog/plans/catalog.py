@@ -65,6 +65,7 @@ FIXED_FOREST = [
 LINES_PER_FILE = 4000
 LINES_PER_STREAM_FILE = 1_000_000
 REPORT_ID = "events"
+REPORT_TIME, REPORT_SECONDS = "2024-02-01 08:30:00", 12.5
 
 
 def query(fn: Query) -> Query:
@@ -274,6 +275,33 @@ def first_last(spark, sf):
     return A.first_last(anomalies(spark, sf, "timestamp"))
 
 
+@query
+def entities_by_file(spark, sf):
+    """Services and addresses of the anomalies by file and day, from the stored table."""
+    return results(spark, sf, tables.ENTITIES)[0].withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def error_patterns_by_file(spark, sf):
+    return results(spark, sf, tables.PATTERNS)[0].withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def entity_totals(spark, sf):
+    """Entities of the whole log, as sums of the stored table."""
+    return A.summed(results(spark, sf, tables.ENTITIES)[0], "kind", "entity")
+
+
+@query
+def stored_list_sizes(spark, sf):
+    """Per file the sizes of the stored lists, beside those its statistics record says."""
+    statistics, entities, patterns = results(spark, sf, tables.STATISTICS, tables.ENTITIES, tables.PATTERNS)
+    sizes = A.list_sizes(entities, patterns)
+    names = ("services_count", "suspicious_ips_count", "error_patterns_count")
+    said = statistics.select("file_id", *[F.col(c).alias(f"recorded_{c}") for c in names])
+    return said.join(sizes, "file_id", "left")
+
+
 # ------------------------------------------------------ windows, timelines
 
 
@@ -621,6 +649,8 @@ def _report(spark, sf):
         spark, sf, tables.STATISTICS, tables.ANOMALIES, tables.ALERTS
     )
     method = analyze.METHOD_LABELS[analyze.RULES_TYPE]
+    # the two values of the record that differ from run to run
+    statistics = statistics.withColumns({"analysis_completed": F.lit(REPORT_TIME).cast("timestamp"), "processing_time": F.lit(REPORT_SECONDS)})
     return report.report_lines(REPORT_ID, statistics, found, alerts_, method)
 
 
@@ -704,6 +734,16 @@ def trained_statistics(spark, sf):
     return record.withColumn("top_ips", F.concat_ws(",", "top_ips"))
 
 
+@query
+def trained_statistics_by_file(spark, sf):
+    """Summaries the trained analysis writes per file, read back."""
+    _, model = figured_assignment(spark, sf)
+    root = scratch_dir(spark, "results")
+    analyze.analyze_trained(log_lines(spark, sf), model, stage=True).write(root, (tables.SUMMARIES,))
+    record = tables.read_table(spark, root, tables.SUMMARIES)
+    return record.withColumn("top_ips", F.concat_ws(",", "top_ips"))
+
+
 @query
 def kmeans_clusters(spark, sf):
     rows = staged_numbers(spark, sf)

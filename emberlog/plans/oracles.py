@@ -5,7 +5,7 @@ They are written against the same tables, independently of the Spark plans.
 
 from __future__ import annotations
 
-from emberlog.plans.catalog import FIXED_CENTERS, FIXED_FOREST, FOREST_FEATURES, LINES_PER_FILE, REPORT_ID
+from emberlog.plans.catalog import FIXED_CENTERS, FIXED_FOREST, FOREST_FEATURES, LINES_PER_FILE, REPORT_ID, REPORT_SECONDS, REPORT_TIME
 from emberlog.sources.event_lines import duckdb_log_lines
 
 _TS = "'%Y-%m-%d %H:%M:%S.%g'"
@@ -62,6 +62,11 @@ _CTES: list[tuple[str, str]] = [
  from scored""",
     ),
     ("anomalies", "select * from labelled where anomaly_score >= 0.4::double"),
+    (
+        "listed",
+        """select file_id, timestamp, 'service' as kind, service as entity from anomalies
+ union all select file_id, timestamp, 'ip_address', ip_address from anomalies""",
+    ),
     (
         "alert_rows",
         """select 'alert_' || file_id || '_' || line_number as id, upper(severity) as severity,
@@ -322,6 +327,8 @@ _VIEW = """select l.file_id, l.line_number, trim(l.value) as content, a.line_num
  round(coalesce(a.anomaly_score, 0), 6) as anomaly_score, coalesce(a.severity, 'normal') as severity
  from log_lines l left join anomalies a using (file_id, line_number) where trim(l.value) <> ''"""
 
+_SEEN = f"count(*) as anomaly_count, strftime(min(timestamp), {_TS}) as first_seen, strftime(max(timestamp), {_TS}) as last_seen"
+
 _RULE = "-" * 80
 _DOUBLE_RULE = "=" * 80
 
@@ -352,6 +359,9 @@ _REPORT_PARTS = [
             [_DOUBLE_RULE, "Findings in service logs", _DOUBLE_RULE, "", f"Analysis: {REPORT_ID}"]
         )
     ],
+    "select 0, 5, '', case when count(distinct file_id) = 1 then 'Source: ' || min(file_id) else 'Source: ' || count(distinct file_id) || ' files' end from scored",
+    f"select 0, 6, '', 'Analysed: {REPORT_TIME}'",
+    f"select 0, 7, '', 'Seconds taken: {REPORT_SECONDS:.2f}'",
     _heading(1, "'Overview'"),
     f"select 1, 0, '', 'Lines read: ' || format('{{:,}}', total_logs) from {_TOTALS}",
     f"select 1, 1, '', 'Lines marked: ' || format('{{:,}}', anomalies_found) from {_TOTALS}",
@@ -447,18 +457,25 @@ _COUNTS = """select count(*) as total_logs, count(*) filter (s > 0.6::double) as
  count(*) filter (s > 0.8::double) as critical_alerts,
  round(coalesce(count(*) filter (s > 0.6::double) / count(*), 0), 6) as anomaly_rate"""
 
-_ENHANCED_STATS = """select count(*) as total_logs, count(*) filter (enhanced > 0.4::double) as anomalies_found,
+_VOLUMES = """count(*) as total_logs, count(*) filter (enhanced > 0.4::double) as anomalies_found,
  count(*) filter (enhanced >= 0.9::double) as critical_alerts,
  count(*) filter (enhanced >= 0.7::double and enhanced < 0.9::double) as high_risk_alerts,
  count(*) filter (enhanced >= 0.5::double and enhanced < 0.7::double) as medium_risk_alerts,
  count(*) filter (enhanced > 0.4::double and enhanced < 0.5::double) as low_risk_alerts,
  count(*) filter (level = 'ERROR') as error_logs, count(*) filter (level = 'WARN') as warn_logs,
  round(avg(response_time), 6) as avg_response_time, max(response_time) as max_response_time,
- """ + f"""strftime(min(timestamp), {_TS}) as start_time, strftime(max(timestamp), {_TS}) as end_time,
+ """ + f"""strftime(min(timestamp), {_TS}) as start_time, strftime(max(timestamp), {_TS}) as end_time"""
+
+_ENHANCED_STATS = f"""select {_VOLUMES},
  (select string_agg(ip_address, ',' order by n desc, ip_address) from (
    select ip_address, count(*) as n from valid group by ip_address order by n desc, ip_address limit 10)) as top_ips
  from enhanced"""
 
+_ENHANCED_BY_FILE = f"""select * from (select file_id, {_VOLUMES} from enhanced group by file_id) join (
+ select file_id, string_agg(ip_address, ',' order by n desc, ip_address) as top_ips from (
+   select file_id, ip_address, count(*) as n from valid group by file_id, ip_address
+   qualify row_number() over (partition by file_id order by n desc, ip_address) <= 10) group by file_id) using (file_id)"""
+
 _BODIES: dict[str, str] = {
     "parse_lines": f"select {_PARSED} from parsed",
     "valid_lines": f"select {_PARSED} from valid",
@@ -476,6 +493,13 @@ _BODIES: dict[str, str] = {
  where level = 'ERROR' group by 1""",
     "distinct_entities": """select distinct 'service' as kind, service as entity from anomalies where service <> ''
  union all select distinct 'ip_address', ip_address from anomalies where ip_address <> ''""",
+    "entities_by_file": f"""select file_id, strftime(timestamp, '%Y-%m-%d') as day, kind, entity, {_SEEN} from listed where entity <> '' group by 1, 2, 3, 4""",
+    "entity_totals": f"select kind, entity, {_SEEN} from listed where entity <> '' group by 1, 2",
+    "error_patterns_by_file": f"""select file_id, strftime(timestamp, '%Y-%m-%d') as day, message as pattern, {_SEEN}
+ from anomalies where level = 'ERROR' group by 1, 2, 3""",
+    "stored_list_sizes": f"""select *, services_count as recorded_services_count, suspicious_ips_count as recorded_suspicious_ips_count,
+ error_patterns_count as recorded_error_patterns_count from (select file_id, services_count, suspicious_ips_count, error_patterns_count
+ from (select file_id, {_STATS} from scored group by file_id))""",
     "first_last": f"""select strftime(arg_min(timestamp, line_number), {_TS}) as first_timestamp,
  strftime(arg_max(timestamp, line_number), {_TS}) as last_timestamp from anomalies where timestamp is not null""",
     "tumbling_service": _windows(_TUMBLING),
@@ -569,6 +593,7 @@ _BODIES: dict[str, str] = {
  round(least(base + case when cluster >= 3 then 0.2::double else 0 end + slow_part + service_part + ip_part, 1), 6) as anomaly_score
  from boosted""",
     "trained_statistics": _ENHANCED_STATS,
+    "trained_statistics_by_file": _ENHANCED_BY_FILE,
     "isolation_fixed_forest": f"""select file_id, line_number,
  case when response_time is not null then round({_ISOLATION}, 6) end as isolation_score from features""",
     "ensemble_fixed": """select file_id, line_number, round(kmeans_score, 6) as anomaly_score, round(isolation_score, 6) as isolation_score,

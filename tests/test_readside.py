@@ -133,6 +133,18 @@ def test_report_text(written):
     assert order == sorted(order)
 
 
+def test_report_says_where_it_comes_from(written):
+    statistics, found, alerts = written(log_line(), log_line(level="ERROR", rt=9000))
+    head = lambda rows: [r.value for r in report.ordered_report(report.report_lines("x", rows, found, alerts, "m")).collect()][4:9]
+    lines_ = head(statistics)
+    assert lines_[:2] == ["Analysis: x", "Source: a.log"]
+    assert lines_[2].startswith("Analysed: 20") and lines_[3].startswith("Seconds taken: ") and lines_[4] == ""
+    two = statistics.unionByName(statistics.withColumns({"file_id": F.lit("b.log_2"), "processing_time": F.lit(99.5)}))
+    assert "Source: 2 files" in head(two) and "Seconds taken: 99.50" in head(two)
+    # records that were never written say what they can
+    assert head(statistics.drop("analysis_completed", "processing_time"))[:3] == ["Analysis: x", "Source: a.log", ""]
+
+
 def test_report_advice(written):
     high = log_line(level="ERROR", rt=9000)
     statistics, found, alerts = written(*([high] * 12), *([log_line()] * 20))

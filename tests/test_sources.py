@@ -9,6 +9,7 @@ from conftest import log_line
 
 from emberlog.functions import columns as C
 from emberlog.functions import fixed
+from emberlog.operators import aggregates
 from emberlog.operators.centers import CenterModel
 from emberlog.plans import analyze, batch, graphs
 from emberlog.sources import inventory, scratch, tables, textlogs
@@ -136,6 +137,73 @@ def test_repeated_analysis_hides_former_rows(spark, log_dir, tmp_path_factory):
     assert row.status == "completed" and row.processing_time >= 0
 
 
+def test_a_run_that_stops_before_its_commit_changes_nothing(spark, log_dir, tmp_path_factory, monkeypatch):
+    """Between the tables and the commit, and after a failure there, readers see the whole run before."""
+    root = str(tmp_path_factory.mktemp("results"))
+    lines = textlogs.numbered_lines(spark, str(log_dir)).select("file_id", "line_number", "value")
+    first = analyze.analyze_rules(lines, AnalysisOptions(use_ml=False))
+    first.write(root)
+    names = (tables.ANOMALIES, tables.ALERTS, tables.STATISTICS, tables.ENTITIES)
+    before = {t: sorted(map(str, tables.read_table(spark, root, t).collect())) for t in names}
+
+    def stops(*args):
+        assert {t: sorted(map(str, tables.read_table(spark, root, t).collect())) for t in names} == before
+        raise OSError("stopped")
+
+    monkeypatch.setattr(tables, "write_commits", stops)
+    with pytest.raises(OSError, match="stopped"):
+        analyze.analyze_rules(lines, AnalysisOptions(use_ml=False, anomaly_threshold=0.1)).write(root)
+    assert {t: sorted(map(str, tables.read_table(spark, root, t).collect())) for t in names} == before
+    monkeypatch.undo()
+    analyze.analyze_rules(lines, AnalysisOptions(use_ml=False, anomaly_threshold=2.0)).write(root)
+    assert tables.read_table(spark, root, tables.ANOMALIES).count() == 0
+    assert tables.read_table(spark, root, tables.STATISTICS).count() == 3
+
+
+def test_former_runs_go_after_the_commit_unless_kept(spark, log_dir, tmp_path_factory):
+    root = tmp_path_factory.mktemp("results")
+    lines = textlogs.numbered_lines(spark, str(log_dir)).select("file_id", "line_number", "value")
+    runs = lambda: {p.name for p in (root / tables.ANOMALIES).glob("file_id=*/run_id=*")}
+    done = analyze.analyze_rules(lines, AnalysisOptions(use_ml=False))
+    done.write(str(root))
+    begun = tables.read_table(spark, str(root), tables.ANOMALIES)
+    done.write(str(root), keep_former=True)
+    assert len(runs()) == 2 and begun.count() == tables.read_table(spark, str(root), tables.ANOMALIES).count() == 2
+    done.write(str(root))
+    assert len(runs()) == 1 and tables.read_table(spark, str(root), tables.ANOMALIES).count() == 2
+
+
+def test_lists_of_a_file_and_of_all_files(spark, log_dir, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("results"))
+    lines = textlogs.numbered_lines(spark, str(log_dir)).select("file_id", "line_number", "value")
+    done = analyze.analyze_rules(lines, AnalysisOptions(use_ml=False))
+    done.write(root)
+    entities = tables.read_table(spark, root, tables.ENTITIES)
+    assert entities.select("file_id").distinct().count() == 2
+    whole = {(r.kind, r.entity): r.anomaly_count for r in aggregates.summed(entities, "kind", "entity").collect()}
+    found = done.anomalies.collect()
+    for kind in ("service", "ip_address"):
+        for value in {r[kind] for r in found}:
+            assert whole[kind, value] == sum(r[kind] == value for r in found)
+    sizes = aggregates.list_sizes(entities, tables.read_table(spark, root, tables.PATTERNS))
+    said = tables.read_table(spark, root, tables.STATISTICS).filter("anomalies_found > 0").select(sizes.columns)
+    assert sorted(sizes.collect()) == sorted(said.collect())
+
+
+def test_trained_analysis_writes_its_summaries(spark, log_dir, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("results"))
+    model = CenterModel(fixed.FEATURES_8, [0.0] * 8, [1000.0] + [1.0] * 7, [[0.0] * 8, [9.0] * 8], [0.9, 0.1])
+    lines = textlogs.numbered_lines(spark, str(log_dir)).select("file_id", "line_number", "value")
+    done = analyze.analyze_trained(lines, model)
+    done.write(root)
+    rows = {r.file_id: r for r in tables.read_table(spark, root, tables.SUMMARIES).collect()}
+    records = {r.file_id: r for r in done.statistics.collect()}
+    assert rows.keys() == records.keys()
+    for k, r in rows.items():
+        assert (r.total_logs, r.anomalies_found, r.error_logs) == (records[k].total_logs, records[k].anomalies_found, records[k].error_logs)
+        assert 1 <= len(r.top_ips) <= 10
+
+
 def test_failed_graph_export_keeps_the_last_graph(spark, tmp_path):
     edges = spark.createDataFrame([("a", "b", 1)], "src string, dst string, weight bigint")
     vertices = spark.createDataFrame([("a", "ip"), ("b", "service")], "id string, type string")
