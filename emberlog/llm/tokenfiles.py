@@ -10,8 +10,8 @@ files and read byte ranges of others.
 
 Texts are encoded piece by piece: each distinct piece of a chunk of texts goes to the
 tokenizer once, and a worker keeps the pieces it has met in a table of bounded
-size. Encoded documents are dealt by ranges of document id (quantiles) and written in
-that order as they come, so no task holds a range in memory, and a part is written
+size. Encoded documents are dealt by ranges of document id, cut so that parts hold about as many
+bytes, one part to a task, and written in that order as they come, so no task holds a range in memory, and a part is written
 again as a whole if its executor is lost.
 
 Added tokens of the vocabulary (such as ``<|endoftext|>``) that stand in a text get their own id, as
@@ -42,10 +42,12 @@ from pyspark.sql import functions as F
 from emberlog.llm.pieces import Pieces, split
 from emberlog.llm.words import strings
 
-CHUNK_BYTES = 4 << 20
-KNOWN_PIECES = 400_000  # of a Python worker; then it starts anew
+CHUNK_BYTES = 512 << 10
+KNOWN_BYTES = 32 << 20  # of the pieces a Python worker keeps; then it starts anew
 PART_BYTES = 64 << 20
+FINE = 16  # ranges of documents per part whose bytes are summed to cut parts by bytes
 NO_ID = -(1 << 63)
+_ENTRY_BYTES = 180  # of a kept piece, besides its ids: hash, bytes object and place in the table
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -54,9 +56,9 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, i
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
-    edges = _edges(rows, parts)
+    edges = _edges(rows, parts, size)
     encoded = rows.mapInArrow(partial(_encoded, vocabulary, end_id, kind, edges), "part int, doc_id long, ids binary")
-    dealt = encoded.withColumn("check", F.crc32("ids")).repartition(parts, "part")
+    dealt = encoded.withColumn("check", F.crc32("ids")).repartitionById(parts, F.col("part"))  # a task for each part
     ordered = dealt.sortWithinPartitions("part", "doc_id", "check").select("part", "doc_id", "ids")
     found = ordered.mapInArrow(partial(_written, path, kind), "part int, name string, n_docs long, n_tokens long").collect()
     found.sort(key=lambda r: r.part)  # one row for each part
@@ -65,11 +67,33 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None, i
     _put(f"{path}/manifest.json", [json.dumps(manifest).encode()])
 
 
-def _edges(rows: DataFrame, parts: int) -> np.ndarray:
-    """Document ids at which a new part begins: quantiles, so that parts hold about as many documents."""
-    shares = [k / parts for k in range(1, parts)]
-    found = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * parts))).first()[0] if shares else None
-    return np.unique(np.array(found or [], np.int64))
+def _edges(rows: DataFrame, parts: int, size: int) -> np.ndarray:
+    """Document ids at which a new part begins, so that parts hold about as many bytes.
+
+    Quantiles of the ids cut the table into ``FINE`` ranges for each part; their bytes are summed in the tasks,
+    and neighbouring ranges join until they hold the share of a part.
+    """
+    if parts < 2:
+        return np.zeros(0, np.int64)
+    n = FINE * parts
+    found = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)).first()[0]
+    fine = np.unique(np.array(found or [], np.int64))
+    lengths = rows.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    sums = lengths.mapInArrow(partial(_range_bytes, fine), "range int, bytes long").groupBy("range").agg(F.sum("bytes").alias("bytes"))
+    bytes_of = np.zeros(len(fine) + 1, np.int64)
+    for r in sums.collect():  # one row for each range
+        bytes_of[r["range"]] = r["bytes"]
+    part = np.minimum(np.cumsum(bytes_of) * parts // max(size, 1), parts - 1)
+    return fine[np.flatnonzero(np.diff(part) > 0)]
+
+
+def _range_bytes(fine: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums = np.zeros(len(fine) + 1, np.int64)
+    for batch in batches:
+        place = np.searchsorted(fine, batch.column(0).fill_null(NO_ID).to_numpy(), side="right")
+        np.add.at(sums, place, batch.column(1).to_numpy())
+    some = np.flatnonzero(sums)
+    yield pa.record_batch([pa.array(some, pa.int32()), pa.array(sums[some], pa.int64())], names=["range", "bytes"])
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -118,7 +142,7 @@ class _Known:
     """Ids of the pieces a Python worker has met, packed, by the hash of the piece."""
 
     def __init__(self, vocabulary: str, kind: str) -> None:
-        self.tokenizer, self.kind, self.ids = _tokenizer(vocabulary), kind, {}
+        self.tokenizer, self.kind, self.ids, self.bytes = _tokenizer(vocabulary), kind, {}, 0
         self.pattern, self.added = _added(vocabulary)
 
     def cuts(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -128,14 +152,16 @@ class _Known:
         return np.array([m.start() for m in found], np.int64), np.array([m.end() for m in found], np.int64), [self.added[m[0]] for m in found]
 
     def lookup(self, pieces: Pieces, hashes: np.ndarray, firsts: np.ndarray) -> list[bytes]:
-        if len(self.ids) > KNOWN_PIECES:
+        if self.bytes > KNOWN_BYTES:
             self.ids.clear()
+            self.bytes = 0
         keys = hashes.tolist()
         missing = [k for k, h in enumerate(keys) if h not in self.ids]
         if missing:
             texts = [pieces.text(int(firsts[k])) for k in missing]
             for k, e in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.ids[keys[k]] = np.array(e.ids, self.kind).tobytes()
+                self.ids[keys[k]] = own = np.array(e.ids, self.kind).tobytes()
+                self.bytes += _ENTRY_BYTES + len(own)
         return [self.ids[h] for h in keys]
 
 

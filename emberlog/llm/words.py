@@ -1,6 +1,6 @@
 """Words and word-window hashes of many texts at once, in numpy.
 
-A chunk holds whole texts of a few megabytes; a text larger than that is a chunk
+A chunk holds whole texts of about a megabyte; a text larger than that is a chunk
 of its own. Hashes are polynomials modulo 2**64 over tabulated bytes (Rabin-Karp),
 finished with a bit mixer, so every window is a difference of two prefix sums.
 """
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE_CODES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
