@@ -1,18 +1,22 @@
 """Exact Jaccard self-join of word-shingle sets by vertical partitioning.
 
-The global order of shingles is the order of their 64-bit hashes. It is cut into F
-fragments, so every set falls into F segments. Two sets that pass the threshold
-differ in at most D shingles, and F > D, so they have an equal segment in at
-least F - D fragments: equal segments are counted range by range in separate tasks,
-the partial counts of a pair are summed, and only pairs with enough of them are
-compared in full. F follows the size of the sets, in levels; a set near the
-lower edge of its level takes part in the level below as well.
+The global order of shingles is the order of their 64-bit hashes, and it is cut into fragments
+twice. First into so many that linked sets must agree in whole ones: two sets that pass the
+threshold differ in at most D shingles and every set falls into F > D segments, so they have an
+equal segment in at least F - D fragments. Equal segments are counted range by range in separate
+tasks and summed per pair; pairs with enough are candidates. F follows the size of the sets, in
+levels; a set near the lower edge of its level takes part in the level below as well.
+
+Then into ``FRAGMENTS`` wide ones: the overlap of every candidate pair is counted in each of them by
+itself, and the sum of these partial counts, with the sizes, decides.
 
 Groups do not become pairs. Equal sets are one set from the start. A segment that
-more than ``SMALL`` sets share links each of them to one centre only. Sets that
-are still apart after these links are compared with the other sets of the same
-centre, block against block, and only where their components differ. So every
-link either joins two components or lies inside one, and none is lost.
+more than ``SMALL`` sets share links each of them to one centre only. Of the members of a centre
+the one in most such segments, the least altered copy, is their hub, and each is a candidate pair
+with its hub. Sets still apart after these links are compared with the other sets of the same
+centre, block against block, and only where their components differ; of the links that a block
+finds it returns a spanning forest. So links grow with the members of a group, every link either
+joins two components or lies inside one, and none is lost.
 
 Defined cases: null or blank text is an empty set, linked with nothing; a text of
 fewer words than a shingle is one shingle; rows with a null id take
@@ -36,6 +40,7 @@ from emberlog.llm.words import SPACED, chunks, grouped, mix, slot, windows
 from emberlog.sources.scratch import staged
 
 SMALL = 8  # sets of a segment that are compared pair by pair
+FRAGMENTS = 4  # in which the overlap of a pair is counted
 BLOCK = 256  # sets of a centre that are compared with as many others at once
 RANGE_BYTES = 24 << 20
 LEAST_RANGES = 32
@@ -107,14 +112,16 @@ def _joined(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[Da
     sets = staged(sets.withColumn("sid", F.when(F.col("doc_id").isNotNull(), F.col("sid"))), "sets")
     segments = rows.filter("doc_id is not null").select("text").mapInArrow(partial(_segments, rule, ranges), "range int, sets binary, segments binary")
     found = staged(segments.groupBy("range").applyInArrow(grouped(_shared), "a long, b long, level int, n_a int, n_b int, none int, equal int, many boolean"), "shared")
-    star = found.filter("many").select(F.col("a").alias("centre"), F.col("b").alias("sid"), "level").distinct()
+    star = found.filter("many").groupBy(F.col("a").alias("centre"), F.col("b").alias("sid"), "level").agg(F.sum("equal").alias("segments"))
     star = staged(star, "stars")
-    pairs = staged(_enough(found, rule), "pairs")
+    pairs = staged(_enough(found, rule).union(_hub_pairs(star)).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(star.select("centre")).union(star.select("sid")).distinct()
     reps = sets.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sid")
     hashes = staged(rows.join(reps, "doc_id").select("sid", "text").mapInArrow(partial(_hash_sets, rule), "sid long, hashes binary").dropDuplicates(["sid"]), "hashes")
     first = staged(_compared(pairs, hashes, rule), "links")
-    return sets, first.union(staged(_rest(star, first, hashes, rule), "links"))
+    rest = _rest(star, first, hashes, rule)
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return sets, first.union(staged(rest, "links"))
 
 
 def _shingles(rule: Rule, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -231,7 +238,8 @@ def _packed(member: np.ndarray, values: np.ndarray, ranges: int) -> pa.RecordBat
 def _shared(table: pa.Table) -> pa.Table:
     """Pairs of sets with the number of segments they share in this range.
 
-    Of a segment with more than ``SMALL`` sets only the pairs with its centre, the smallest set id.
+    Of a segment with more than ``SMALL`` sets only the pairs with its centre, the smallest set id,
+    itself included.
     """
     runs = np.frombuffer(b"".join(table.column("sets").to_pylist()), _MEMBER)
     low = np.frombuffer(b"".join(table.column("segments").to_pylist()), "<u4")
@@ -250,8 +258,8 @@ def _shared(table: pa.Table) -> pa.Table:
         i, j = np.triu_indices(n, 1)
         first.append((at + i).ravel()), second.append((at + j).ravel()), many.append(np.zeros(at.size * len(i), bool))
     large = sizes > SMALL
-    owner = np.repeat(begins[large], sizes[large] - 1)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[large] - 1) - (sizes[large] - 1), sizes[large] - 1) + 1
+    owner = np.repeat(begins[large], sizes[large])
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[large]) - sizes[large], sizes[large])
     first.append(owner), second.append(owner + inside), many.append(np.ones(len(owner), bool))
     a, b, many = member[np.concatenate(first)], member[np.concatenate(second)], np.concatenate(many)
     left, right = runs[a], runs[b]
@@ -268,7 +276,7 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _enough(found: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose equal segments, summed over the ranges, allow the threshold."""
-    summed = found.groupBy("a", "b", "level", "n_a", "n_b").agg(F.sum("equal").alias("equal"), F.max("none").alias("none"))
+    summed = found.filter("a <> b").groupBy("a", "b", "level", "n_a", "n_b").agg(F.sum("equal").alias("equal"), F.max("none").alias("none"))
     upto = rule.edges(1 << 40)
     counts = F.array(*[F.lit(rule.fragments(k)[1]) for k in range(len(upto) - 1)])
     sizes = F.least("n_a", "n_b").cast("long") * 100 >= F.greatest("n_a", "n_b").cast("long") * rule.percent
@@ -277,24 +285,52 @@ def _enough(found: DataFrame, rule: Rule) -> DataFrame:
     return summed.filter(sizes & (F.col("equal") >= need)).select("a", "b").distinct()
 
 
+def _hub_pairs(star: DataFrame) -> DataFrame:
+    """Each member of a centre with the hub of that centre: the member in most shared segments, ties by id."""
+    degrees = star.groupBy("sid").agg(F.sum("segments").alias("degree"))
+    placed = star.join(degrees, "sid")
+    hubs = placed.groupBy("centre", "level").agg(F.max_by("sid", F.struct("degree", "sid")).alias("hub"))
+    both = star.join(hubs, ["centre", "level"]).filter("sid <> hub")
+    return both.select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
+
+
 def _compared(pairs: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that pass the threshold in full."""
-    left = pairs.join(hashes.select(F.col("sid").alias("a"), F.col("hashes").alias("left")), "a")
-    both = left.join(hashes.select(F.col("sid").alias("b"), F.col("hashes").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(partial(_passing, rule), "a long, b long")
+    """The pairs that pass the threshold: overlaps counted by fragment, summed per pair.
+
+    A fragment that one of the sets has nothing in adds nothing.
+    """
+    cut = staged(hashes.mapInArrow(_cut, "sid long, fragment int, n int, part binary"), "fragments")
+    left = pairs.join(cut.select(F.col("sid").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("part").alias("left")), "a")
+    right = cut.select(F.col("sid").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("part").alias("right"))
+    both = left.join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", "left", "right")
+    partial_counts = both.mapInArrow(_overlaps, "a long, b long, n_a int, n_b int, common long")
+    summed = partial_counts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+    union = F.col("n_a") + F.col("n_b") - F.col("common")
+    return summed.filter(100 * F.col("common") >= rule.percent * union).select("a", "b")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The part of each set in each fragment it has shingles in, and the size of the set."""
+    edges = np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS)
+    for batch in batches:
+        rows = []
+        for sid, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = np.frombuffer(blob, np.uint64)
+            at = [0, *np.searchsorted(own, edges).tolist(), len(own)]
+            rows += [(sid, k, len(own), own[a:b].tobytes()) for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["sid", "fragment", "n", "part"])
 
 
-def _passing(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        left, right = batch.column(2), batch.column(3)
-        good = np.array([_linked(rule, np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(left, right, strict=True)], bool)
-        yield pa.record_batch([batch.column(0).filter(pa.array(good)), batch.column(1).filter(pa.array(good))], names=["a", "b"])
+        common = [_common(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)]
+        yield pa.record_batch([*batch.columns[:4], pa.array(common, pa.int64())], names=["a", "b", "n_a", "n_b", "common"])
 
 
-def _linked(rule: Rule, x: np.ndarray, y: np.ndarray) -> bool:
+def _common(x: np.ndarray, y: np.ndarray) -> int:
     both = np.sort(np.concatenate([x, y]))
-    common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= rule.percent * (len(x) + len(y) - common)
+    return int((both[1:] == both[:-1]).sum())
 
 
 def _rest(star: DataFrame, found: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame:
@@ -303,7 +339,7 @@ def _rest(star: DataFrame, found: DataFrame, hashes: DataFrame, rule: Rule) -> D
     All sets of a centre that are not in its most frequent component are compared with
     all others whose component differs, in blocks of ``BLOCK``.
     """
-    members = star.union(star.select("centre", F.col("centre").alias("sid"), "level")).distinct()
+    members = star.select("centre", "sid", "level")
     parts = components(found)
     members = members.join(parts, members.sid == parts.id, "left").select("centre", "level", "sid", F.coalesce("component", "sid").alias("part"))
     counts = members.groupBy("centre", "level", "part").agg(F.count("*").alias("n"))
@@ -369,6 +405,7 @@ def _block(rule: Rule, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     col = ~query[owner]
     by = np.argsort(number[col], kind="stable")  # columns that hold each shingle, in postings
     posted, shingle = place[owner[col]][by], number[col][by]
+    _, joined = np.unique(part, return_inverse=True)  # components, and what this block joins of them
     a, b = [], []
     for r in rows.tolist():
         mine = number[owner == r] if len(rows) < 4 else number[np.searchsorted(owner, r) : np.searchsorted(owner, r, side="right")]
@@ -376,7 +413,10 @@ def _block(rule: Rule, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = hi - lo
         hits = posted[np.repeat(lo - np.cumsum(span) + span, span) + np.arange(span.sum())]
         common = np.bincount(hits, minlength=len(columns))
-        good = (100 * common >= rule.percent * (sizes[r] + sizes[columns] - common)) & (part[columns] != part[r])
-        a += [sid[r]] * int(good.sum())
-        b += sid[columns[good]].tolist()
+        good = columns[(100 * common >= rule.percent * (sizes[r] + sizes[columns] - common)) & (joined[columns] != joined[r])]
+        if len(good):  # one link to each component it reaches
+            others, at = np.unique(joined[good], return_index=True)
+            a += [sid[r]] * len(at)
+            b += sid[good[at]].tolist()
+            joined[np.isin(joined, others)] = joined[r]
     yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])

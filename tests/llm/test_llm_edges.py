@@ -75,6 +75,24 @@ def test_jaccard_loses_no_link_in_large_groups(spark, width, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard_classes(rows, width, percent)
 
 
+def test_jaccard_links_grow_with_a_group_not_with_its_square(spark):
+    for n in (600, 1200):
+        _, found = jaccard.links(frame(spark, list(enumerate(variants(n, 110, 2)))), jaccard.Rule(3, 90))
+        links, parts = found.count(), components(found)
+        needed = parts.count() - parts.select("component").distinct().count()  # to hold the components together
+        assert links == found.distinct().count() and n // 2 < needed <= links <= 1.5 * needed
+
+
+def test_jaccard_overlaps_are_summed_over_fragments(spark):
+    """Pairs right at the threshold and one shingle below it, each with parts in every fragment."""
+    words = [f"w{i}" for i in range(60)]
+    exact = words[:47] + ["x1"]  # of 58 shingles 45 in common: 45 / (58 + 46 - 45) = 45 / 59
+    rows = [(1, " ".join(words)), (2, " ".join(exact)), (3, " ".join(words[:50])), (4, " ".join(words[10:60]))]
+    for percent in (70, 75, 76, 77, 80, 82, 83):
+        got = jaccard.jaccard_classes(frame(spark, rows), jaccard.Rule(3, percent)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard_classes(rows, 3, percent)
+
+
 def test_jaccard_null_ids_and_columns(spark, docs, nothing):
     some = frame(spark, [(None, passage(1, 50)), (None, passage(1, 50)), (3, passage(1, 50)), (4, passage(1, 50))])
     got = sorted(map(tuple, jaccard.jaccard_classes(some).collect()), key=str)
