@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from emberlog.llm.pieces import Pieces, split
 from emberlog.llm.words import strings
 
-CHUNK_BYTES = 512 << 10
-KNOWN_BYTES = 32 << 20  # of the pieces a Python worker keeps; then it starts anew
+CHUNK_BYTES = 1 << 20
+KNOWN_BYTES = 112 << 20  # of the pieces a Python worker keeps; then it starts anew
 PART_BYTES = 64 << 20
 FINE = 16  # ranges of documents per part whose bytes are summed to cut parts by bytes
 NO_ID = -(1 << 63)
