@@ -27,9 +27,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.llm.expressions import let
 from emberlog.sources.scratch import staged
 
-KNOWN_WORDS = 1 << 16
+KNOWN_WORDS = 1 << 17
 SAMPLE_DOCS = 20_000
 _ABSENT = (1 << 31) - 1
 
@@ -75,15 +76,17 @@ class Tokenizer:
         if least is None:
             return self
         known = counted.filter(F.col("count") >= least)
-        self.known, self.known_size = _map_literal(known.select(F.col("word").alias("key"), self._folded(F.col("word")).alias("value")), KNOWN_WORDS)
+        self.known, self.known_size = _map_literal(known.select(F.col("word").alias("key"), let(self.ranks, lambda r: self._folded(F.col("word"), r)).alias("value")), KNOWN_WORDS)
         return self
 
     def pieces(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
     def encode(self, text: Column) -> Column:
-        """Array of ids."""
-        return F.flatten(F.transform(self.pieces(text), self._ids))
+        """Array of ids. The tables stand in the expression once; its parts take them from a lambda variable."""
+        known = self.known if self.known is not None else F.lit(None).cast("array<map<string,array<int>>>")
+        tables = F.struct(self.ranks.alias("ranks"), known.alias("known"))
+        return let(tables, lambda t: F.flatten(F.transform(self.pieces(text), lambda word: self._ids(word, t))))
 
     def decode(self, ids: Column) -> Column:
         """Bytes of the ids, as binary."""
@@ -97,34 +100,36 @@ class Tokenizer:
         column = F.split(F.lit(" ".join(table)), " ")  # a constant, folded by the optimizer
         return F.array_join(F.transform(ids, lambda i: F.element_at(column, i + 1)), "")
 
-    def _ids(self, word: Column) -> Column:
+    def _ids(self, word: Column, tables: Column) -> Column:
+        folded = self._folded(word, tables["ranks"])
         if self.known is None:
-            return self._folded(word)
-        return F.coalesce(_looked_up(self.known, self.known_size, word), self._folded(word))
+            return folded
+        return F.coalesce(_looked_up(tables["known"], self.known_size, word), folded)
 
-    def _rank(self, pair: Column) -> Column:
-        return F.coalesce(_looked_up(self.ranks, self.ranks_size, pair), F.lit(_ABSENT))
+    def _rank(self, pair: Column, ranks: Column) -> Column:
+        return F.coalesce(_looked_up(ranks, self.ranks_size, pair), F.lit(_ABSENT))
 
-    def _folded(self, word: Column) -> Column:
-        return _let(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), self._merged)
+    def _folded(self, word: Column, ranks: Column) -> Column:
+        return let(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda parts: self._merged(parts, ranks))
 
-    def _merged(self, parts: Column) -> Column:
+    def _merged(self, parts: Column, ranks: Column) -> Column:
         n = F.size(parts)
-        pairs = F.zip_with(F.slice(parts, F.lit(1), n - 1), F.slice(parts, F.lit(2), n - 1), lambda a, b: self._rank(F.concat(a, b)))
+        rank = lambda x: self._rank(x, ranks)
+        pairs = F.zip_with(F.slice(parts, F.lit(1), n - 1), F.slice(parts, F.lit(2), n - 1), lambda a, b: rank(F.concat(a, b)))
         start = F.struct(parts.alias("parts"), pairs.alias("ranks"))
-        end = F.aggregate(F.sequence(F.lit(2), n), start, lambda s, _: self._step(s), lambda s: s["parts"])
-        return F.transform(F.when(n > 1, end).otherwise(parts), self._rank)
+        end = F.aggregate(F.sequence(F.lit(2), n), start, lambda s, _: self._step(s, rank), lambda s: s["parts"])
+        return F.transform(F.when(n > 1, end).otherwise(parts), rank)
 
-    def _step(self, state: Column) -> Column:
+    def _step(self, state: Column, rank) -> Column:
         """``state`` after merging its leftmost pair of the lowest rank."""
-        return _let(
+        return let(
             F.array_min(state["ranks"]),
             lambda low: F.when(low.isNull() | (low == _ABSENT), state).otherwise(
-                _let(F.array_position(state["ranks"], low).cast("int"), lambda i: self._joined(state, i))
+                let(F.array_position(state["ranks"], low).cast("int"), lambda i: self._joined(state, i, rank))
             ),
         )
 
-    def _joined(self, state: Column, i: Column) -> Column:
+    def _joined(self, state: Column, i: Column, rank) -> Column:
         parts, ranks = state["parts"], state["ranks"]
         rest = F.lit(1 << 30)
 
@@ -135,22 +140,17 @@ class Tokenizer:
                 F.concat(F.slice(parts, F.lit(1), i - 1), F.array(new), F.slice(parts, i + 2, rest)).alias("parts"),
                 F.concat(
                     F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))),
-                    F.transform(F.concat(before, after), self._rank),
+                    F.transform(F.concat(before, after), rank),
                     F.slice(ranks, i + 2, rest),
                 ).alias("ranks"),
             )
 
-        return _let(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1)), built)
-
-
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+        return let(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1)), built)
 
 
 def _map_literal(rows: DataFrame, most: int) -> tuple[Column, int]:
     """A constant array of maps, each holding the keys whose hash gives its place; ``rows`` has at most ``most``."""
-    size = 1 << max(4, (most - 1).bit_length())
+    size = 1 << max(4, (most - 1).bit_length() - 3)  # about eight keys a map: a map by itself takes more room than a key
     placed = rows.groupBy(_place(F.col("key"), size).alias("place")).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
     maps = ["{}"] * size
     for place, text in placed.select("place", F.to_json("m")).collect():
