@@ -41,7 +41,7 @@ from emberlog.sources.scratch import staged
 
 SMALL = 8  # sets of a segment that are compared pair by pair
 FRAGMENTS = 4  # in which the overlap of a pair is counted
-BLOCK = 256  # sets of a centre that are compared with as many others at once
+BLOCK = 512  # sets of a centre that are compared with as many others at once
 RANGE_BYTES = 24 << 20
 LEAST_RANGES = 32
 _LEVEL_BASE, _LEVEL_STEP, _SLACK = 4, 1.5, 1.3
