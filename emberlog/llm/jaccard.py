@@ -41,7 +41,7 @@ from emberlog.sources.scratch import staged
 
 SMALL = 8  # sets of a segment that are compared pair by pair
 FRAGMENTS = 4  # in which the overlap of a pair is counted
-BLOCK = 512  # sets of a centre that are compared with as many others at once
+BLOCK_BYTES = 4 << 20  # of hashes of the sets of a centre that are compared with as many others at once
 RANGE_BYTES = 24 << 20
 LEAST_RANGES = 32
 _LEVEL_BASE, _LEVEL_STEP, _SLACK = 4, 1.5, 1.3
@@ -68,6 +68,10 @@ class Rule:
             edges.append(int(np.ceil(edges[-1] * _LEVEL_STEP)))
         return np.array(edges)
 
+    def block(self, level: int) -> int:
+        """Sets of the level that ``BLOCK_BYTES`` hold."""
+        return max(1, BLOCK_BYTES // (8 * int(self.edges(1 << 40)[level + 1])))
+
     def fragments(self, level: int) -> tuple[int, int]:
         """Most differing shingles of a pair of the level, and its number of fragments."""
         largest = int(self.edges(1 << 40)[level + 1]) - 1
@@ -337,7 +341,8 @@ def _rest(star: DataFrame, found: DataFrame, hashes: DataFrame, rule: Rule) -> D
     """Links between the components of sets that share a centre.
 
     All sets of a centre that are not in its most frequent component are compared with
-    all others whose component differs, in blocks of ``BLOCK``.
+    all others whose component differs, in blocks of at most ``BLOCK_BYTES``: the shorter the
+    sets, the more of them make a block, and the fewer copies of a set are sent.
     """
     members = star.select("centre", "sid", "level")
     parts = components(found)
@@ -348,10 +353,11 @@ def _rest(star: DataFrame, found: DataFrame, hashes: DataFrame, rule: Rule) -> D
     members = staged(members.join(main, ["centre", "level"]).withColumn("minor", F.col("part") != F.col("main")), "members")
     minors = members.groupBy("centre", "level").agg(F.sum(F.col("minor").cast("long")).alias("n_minor"))
     members = members.join(minors, ["centre", "level"])
-    side = F.pmod(F.xxhash64("sid"), F.ceil(F.col("total") / BLOCK)).cast("int")
-    across = F.ceil(F.col("n_minor") / BLOCK).cast("int")
+    block = F.element_at(F.array(*[F.lit(rule.block(k)) for k in range(len(rule.edges(1 << 40)) - 1)]), F.col("level") + 1)
+    along, across = F.ceil(F.col("total") / block).cast("int"), F.ceil(F.col("n_minor") / block).cast("int")
+    side = F.pmod(F.xxhash64("sid"), along).cast("int")
     row = members.filter("minor").withColumn("row", F.pmod(F.xxhash64("sid"), across).cast("int"))
-    row = row.withColumn("column", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("total") / BLOCK) - 1).cast("int")))).withColumn("query", F.lit(True))
+    row = row.withColumn("column", F.explode(F.sequence(F.lit(0), along - 1))).withColumn("query", F.lit(True))
     column = members.withColumn("column", side).withColumn("row", F.explode(F.sequence(F.lit(0), across - 1))).withColumn("query", F.lit(False))
     fields = ["centre", "level", "row", "column", "query", "sid", "part"]
     placed = row.select(fields).union(column.select(fields)).join(hashes, "sid")
