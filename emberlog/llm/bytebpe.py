@@ -7,9 +7,14 @@ U+00FF, so that joined bytes are a string and can be a key of the literal rank m
 Spark searches a map from end to end; the literal is therefore an array of small
 maps, addressed by a hash of the key.
 
-Frequent words come from a second literal map with their finished ids: at most
-``KNOWN_WORDS`` words, the most frequent of a sample of about ``SAMPLE_DOCS`` documents.
-It only saves work: every other piece is folded where it stands, with the same ids.
+While a piece is folded it keeps the places where its tokens begin, and the rank of
+every pair of neighbours; a merge takes one place away and looks up the two pairs beside
+it. A character that no token holds stands on both sides, so that ends are no special case.
+
+Frequent words are folded once and come with their finished ids from a table of maps, a
+scalar subquery: at most ``KNOWN_WORDS`` words of at most ``KNOWN_LENGTH`` characters, the most
+frequent of a sample of about ``SAMPLE_DOCS`` documents, so its size has a bound. It only
+saves work: every other piece is folded where it stands, with the same ids.
 
 Decoding looks up the bytes of each id and concatenates them.
 
@@ -30,9 +35,11 @@ from pyspark.sql import functions as F
 from emberlog.llm.expressions import let
 from emberlog.sources.scratch import staged
 
-KNOWN_WORDS = 1 << 16
+KNOWN_WORDS = 1 << 17
+KNOWN_LENGTH = 64
 SAMPLE_DOCS = 20_000
 _ABSENT = (1 << 31) - 1
+_EDGE = "\u0100"  # above every byte, so in no token
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -44,7 +51,7 @@ def read_ranks(path: str) -> list[bytes]:
 
 @dataclass
 class Tokenizer:
-    """Literal tables of a vocabulary and of frequent words."""
+    """The literal table of a vocabulary's ranks, and the table of frequent words."""
 
     tokens: list[bytes]
     pattern: str
@@ -64,7 +71,7 @@ class Tokenizer:
         """Add the finished ids of frequent words."""
         some = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
         sample = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < int(some * (1 << 20)))
-        words = sample.select(F.explode(self.pieces(F.col(text_col))).alias("word"))
+        words = sample.select(F.explode(self.pieces(F.col(text_col))).alias("word")).filter(F.char_length("word") <= KNOWN_LENGTH)
         counted = staged(words.groupBy("word").count(), "word-counts")
         # from the highest count down, as many whole counts as there is room for
         room, least = KNOWN_WORDS, None
@@ -75,18 +82,33 @@ class Tokenizer:
             least = row["count"]
         if least is None:
             return self
-        known = counted.filter(F.col("count") >= least)
-        self.known, self.known_size = _map_literal(known.select(F.col("word").alias("key"), let(self.ranks, lambda r: self._folded(F.col("word"), r)).alias("value")), KNOWN_WORDS)
+        known = counted.filter(F.col("count") >= least).repartition(counted.sparkSession.sparkContext.defaultParallelism, "word")
+        folded = let(self.ranks, lambda r: self._folded(F.col("word"), r))
+        self.known_size = _places(KNOWN_WORDS)
+        self.known = _map_table(staged(known.select(F.col("word").alias("key"), folded.alias("value")), "known-words"), self.known_size)
         return self
 
     def pieces(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def encode(self, text: Column) -> Column:
+    def encode(self, text: Column, known: Column | None = None) -> Column:
         """Array of ids. The tables stand in the expression once; its parts take them from a lambda variable."""
-        known = self.known if self.known is not None else F.lit(None).cast("array<map<string,array<int>>>")
-        tables = F.struct(self.ranks.alias("ranks"), known.alias("known"))
-        return let(tables, lambda t: F.flatten(F.transform(self.pieces(text), lambda word: self._ids(word, t))))
+        kind = F.lit(None).cast("array<map<string,array<int>>>")
+        tables = F.struct(self.ranks.alias("ranks"), (kind if known is None else known).alias("known"))
+        look = known is not None
+        return let(tables, lambda t: F.flatten(F.transform(self.pieces(text), lambda word: self._ids(word, t, look))))
+
+    def with_ids(self, docs: DataFrame, text_col: str = "text", column: str = "ids") -> DataFrame:
+        """``docs`` and the ids of ``text_col``.
+
+        A subquery may not be written inside a higher-order function, so the table is a column first; it is
+        used once, and the optimizer puts the subquery in its place: no row ever holds the table.
+        """
+        if self.known is None:
+            return docs.withColumn(column, self.encode(F.col(text_col)))
+        kept = [c for c in docs.columns if c != column]
+        tabled = docs.select("*", self.known.alias("__known"))
+        return tabled.select(*kept, self.encode(F.col(text_col), F.col("__known")).alias(column))
 
     def decode(self, ids: Column) -> Column:
         """Bytes of the ids, as binary."""
@@ -94,63 +116,65 @@ class Tokenizer:
 
     def packed(self, ids: Column) -> Column:
         """The ids as little-endian unsigned 32-bit integers, as binary."""
-        return F.unhex(self._mapped(ids, [k.to_bytes(4, "little").hex() for k in range(len(self.tokens))]))
+        low, high = lambda i: i.bitwiseAND(255), lambda i: i.bitwiseAND(0xFF00)
+        turned = lambda i: low(i) * (1 << 24) + high(i) * 256 + high(F.shiftright(i, 8)) + low(F.shiftright(i, 24))
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.lpad(F.hex(turned(i.cast("long"))), 8, "0")), ""))
 
     def _mapped(self, ids: Column, table: list[str]) -> Column:
         column = F.split(F.lit(" ".join(table)), " ")  # a constant, folded by the optimizer
         return F.array_join(F.transform(ids, lambda i: F.element_at(column, i + 1)), "")
 
-    def _ids(self, word: Column, tables: Column) -> Column:
+    def _ids(self, word: Column, tables: Column, look: bool) -> Column:
         folded = self._folded(word, tables["ranks"])
-        if self.known is None:
-            return folded
-        return F.coalesce(_looked_up(tables["known"], self.known_size, word), folded)
+        return F.coalesce(_looked_up(tables["known"], self.known_size, word), folded) if look else folded
 
     def _rank(self, pair: Column, ranks: Column) -> Column:
         return F.coalesce(_looked_up(ranks, self.ranks_size, pair), F.lit(_ABSENT))
 
     def _folded(self, word: Column, ranks: Column) -> Column:
-        return let(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), lambda parts: self._merged(parts, ranks))
+        edge = F.lit(_EDGE)
+        return let(F.concat(edge, F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), edge), lambda text: self._merged(text, ranks))
 
-    def _merged(self, parts: Column, ranks: Column) -> Column:
-        n = F.size(parts)
+    def _merged(self, text: Column, ranks: Column) -> Column:
+        """Ids of ``text`` between its edges. Tokens begin at ``starts``; pair k is that of the tokens k and k + 1."""
+        n = F.char_length(text)
         rank = lambda x: self._rank(x, ranks)
-        pairs = F.zip_with(F.slice(parts, F.lit(1), n - 1), F.slice(parts, F.lit(2), n - 1), lambda a, b: rank(F.concat(a, b)))
-        start = F.struct(parts.alias("parts"), pairs.alias("ranks"))
-        end = F.aggregate(F.sequence(F.lit(2), n), start, lambda s, _: self._step(s, rank), lambda s: s["parts"])
-        return F.transform(F.when(n > 1, end).otherwise(parts), rank)
-
-    def _step(self, state: Column, rank) -> Column:
+        pairs = F.transform(F.transform(F.sequence(F.lit(1), n - 1), lambda k: F.substr(text, k, F.lit(2))), rank)
+        start = F.struct(F.sequence(F.lit(1), n + 1).alias("starts"), pairs.alias("ranks"))
+        end = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 3, F.lit(1))), start, lambda s, _: self._step(s, text, rank), lambda s: s["starts"])
+        token = lambda starts, k: _between(text, F.element_at(starts, k), F.element_at(starts, k + 1))
+        ids = let(end, lambda starts: F.transform(F.transform(F.sequence(F.lit(2), F.size(starts) - 2), lambda k: token(starts, k)), rank))
+        return F.when(n > 2, ids).otherwise(F.array().cast("array<int>"))
+
+    def _step(self, state: Column, text: Column, rank) -> Column:
         """``state`` after merging its leftmost pair of the lowest rank."""
+        # rank and place in one number: array_position leaves its loop by an exception, which costs more than a merge
+        placed = F.transform(state["ranks"], lambda r, k: F.shiftleft(r.cast("long"), 31).bitwiseOR(k.cast("long")))
         return let(
-            F.array_min(state["ranks"]),
-            lambda low: F.when(low.isNull() | (low == _ABSENT), state).otherwise(
-                let(F.array_position(state["ranks"], low).cast("int"), lambda i: self._joined(state, i, rank))
+            F.array_min(placed),
+            lambda low: F.when(low >= _ABSENT << 31, state).otherwise(
+                let(low.bitwiseAND((1 << 31) - 1).cast("int") + 1, lambda i: self._joined(state, i, text, rank))
             ),
         )
 
-    def _joined(self, state: Column, i: Column, rank) -> Column:
-        parts, ranks = state["parts"], state["ranks"]
-        rest = F.lit(1 << 30)
+    def _joined(self, state: Column, i: Column, text: Column, rank) -> Column:
+        """Pair i becomes one token, so the pairs beside it change; neither is ever the first or last place."""
+        starts, ranks = state["starts"], state["ranks"]
+        at = lambda k: F.element_at(starts, i + k)
+        beside = F.transform(F.array(_between(text, at(-1), at(2)), _between(text, at(0), at(3))), rank)
+        return F.struct(
+            F.array_remove(starts, at(1)).alias("starts"),
+            F.concat(F.slice(ranks, F.lit(1), i - 2), beside, F.slice(ranks, i + 2, F.lit(1 << 30))).alias("ranks"),
+        )
 
-        def built(new: Column) -> Column:
-            before = F.when(i > 1, F.array(F.concat(F.element_at(parts, i - 1), new))).otherwise(F.array().cast("array<string>"))
-            after = F.when(i + 1 < F.size(parts), F.array(F.concat(new, F.element_at(parts, i + 2)))).otherwise(F.array().cast("array<string>"))
-            return F.struct(
-                F.concat(F.slice(parts, F.lit(1), i - 1), F.array(new), F.slice(parts, i + 2, rest)).alias("parts"),
-                F.concat(
-                    F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))),
-                    F.transform(F.concat(before, after), rank),
-                    F.slice(ranks, i + 2, rest),
-                ).alias("ranks"),
-            )
 
-        return let(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1)), built)
+def _between(text: Column, begin: Column, end: Column) -> Column:
+    return F.substr(text, begin, end - begin)
 
 
 def _map_literal(rows: DataFrame, most: int) -> tuple[Column, int]:
     """A constant array of maps, each holding the keys whose hash gives its place; ``rows`` has at most ``most``."""
-    size = 1 << max(4, (most - 1).bit_length() - 3)  # about eight keys a map: a map by itself takes more room than a key
+    size = _places(most)
     placed = rows.groupBy(_place(F.col("key"), size).alias("place")).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("m"))
     maps = ["{}"] * size
     for place, text in placed.select("place", F.to_json("m")).collect():
@@ -159,6 +183,20 @@ def _map_literal(rows: DataFrame, most: int) -> tuple[Column, int]:
     return F.from_json(F.lit(f"[{','.join(maps)}]"), f"array<map<string,{kind}>>"), size
 
 
+def _map_table(rows: DataFrame, size: int) -> Column:
+    """The same array of maps as a scalar subquery; the caller bounds ``rows``."""
+    placed = rows.groupBy(_place(F.col("key"), size).alias("place")).agg(F.collect_list(F.struct("key", "value")).alias("entries"))
+    every = rows.sparkSession.range(0, size, 1, 1).select(F.col("id").cast("int").alias("place")).join(placed, "place", "left")
+    entries = F.sort_array(F.collect_list(F.struct("place", "entries")))
+    empty = F.expr("map()").cast(f"map<string,{rows.schema['value'].dataType.simpleString()}>")
+    maps = F.transform(entries, lambda e: F.coalesce(F.map_from_entries(e["entries"]), empty))
+    return every.agg(maps.alias("maps")).scalar()
+
+
+def _places(most: int) -> int:
+    return 1 << max(4, (most - 1).bit_length() - 3)  # about eight keys a map: a map by itself takes more room than a key
+
+
 def _place(key: Column, size: int) -> Column:
     return F.hash(key).bitwiseAND(size - 1)
 

@@ -72,7 +72,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     tokenizer = bytebpe.Tokenizer.load(docs.sparkSession, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).learn(docs)
-    ids = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
+    ids = tokenizer.with_ids(docs.select("doc_id", "text")).select("doc_id", "ids")
     return ids.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(tokenizer.packed(F.col("ids")), 256).alias("ids_sha256"), F.sha2(tokenizer.decode(F.col("ids")), 256).alias("decoded_sha256"),

@@ -219,6 +219,27 @@ def test_byte_bpe_edges(spark, docs, nothing):
     assert nothing.select(ids).count() == 0
 
 
+def test_byte_bpe_takes_known_words_from_their_table(spark, nothing):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokenizer = bytebpe.Tokenizer.load(spark, path, public_tokenizers.PATTERN)
+    texts = [None, "", "one two three two two", "x" * 300 + " two " + "é" * 90, "Ā ā ĀĀ two", "a", "three three"]
+    small = frame(spark, list(enumerate(texts)))
+    plain = tokenizer.with_ids(small, column="text").select("doc_id", "text")
+    learnt = tokenizer.learn(small)
+    assert learnt.known_size
+    got = learnt.with_ids(small)
+    assert sorted(got.columns) == sorted(small.columns)  # a column of that name is replaced
+    assert {r.doc_id: r.ids for r in got.collect()} == {r.doc_id: r.text for r in plain.collect()}
+    packed = got.select("ids", tokenizer.packed(F.col("ids")).alias("p")).collect()
+    assert all(bytes(r.p) == b"".join(i.to_bytes(4, "little") for i in r.ids) for r in packed)
+    wide = spark.createDataFrame([([0, 255, 256, 65535, 65536, (1 << 31) - 1],)], "ids array<int>")
+    assert bytes(wide.select(tokenizer.packed(F.col("ids"))).first()[0]) == b"".join(i.to_bytes(4, "little") for i in wide.first().ids)
+    assert learnt.with_ids(nothing).count() == 0
+    # the table is a subquery of the one projection, so no row carries it
+    plan = got.select("doc_id", "ids")._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and "__known" not in plan
+
+
 def test_chat_edges(spark):
     hostile = "\\<s>[INST] <<SYS>> \\\\</s><<|>> 😀 [/INST]"
     rows = [
