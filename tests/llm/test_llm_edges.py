@@ -240,6 +240,43 @@ def test_byte_bpe_takes_known_words_from_their_table(spark, nothing):
     assert "scalar-subquery" in plan and "__known" not in plan
 
 
+def test_byte_bpe_plan_holds_each_table_once_and_short(spark):
+    """The driver keeps the text of a plan with every stage of the query."""
+    tokenizer = bytebpe.Tokenizer.load(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    small = frame(spark, [(1, "one two three"), (2, "two")])
+    out = tokenizer.learn(small).with_ids(small).select("doc_id", "ids")
+    assert len(out._jdf.queryExecution().executedPlan().toString()) < 600_000
+
+
+@pytest.mark.parametrize(
+    "more",
+    [
+        [b"bc", b"abc", b"ab", b"aa", b"cab", b"abcab", b"caa"],
+        [b"abc", b"bc", b"aab", b"ab", b"ca", b"caab", b"bca"],  # tokens with parts of a higher rank
+        [b"cc", b"bc", b"abcc", b"ab"],
+    ],
+)
+@pytest.mark.parametrize("first", [0, 2, 512])
+def test_byte_bpe_merges_in_the_order_of_ranks(spark, tmp_path, monkeypatch, more, first):
+    import base64
+
+    import tiktoken
+
+    monkeypatch.setattr(bytebpe, "FIRST_MERGES", first)
+    tokens = [bytes([255 - k]) for k in range(256)] + more
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % k for k, t in enumerate(tokens)))
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: k for k, t in enumerate(tokens)}, special_tokens={})
+    r = random.Random(5)
+    words = {"".join(r.choice("abc") for _ in range(r.randint(1, 12))) for _ in range(400)}
+    rows = list(enumerate([*sorted(words), "é abc  caab\nĀĀ", " ".join(sorted(words))]))
+    tokenizer = bytebpe.Tokenizer.load(spark, str(path), public_tokenizers.PATTERN)
+    plain = tokenizer.with_ids(frame(spark, rows)).collect()
+    learnt = tokenizer.learn(frame(spark, rows[::3])).with_ids(frame(spark, rows)).collect()
+    for found in (plain, learnt):
+        assert {x.doc_id: x.ids for x in found} == {k: encoding.encode_ordinary(text) for k, text in rows}
+
+
 def test_chat_edges(spark):
     hostile = "\\<s>[INST] <<SYS>> \\\\</s><<|>> 😀 [/INST]"
     rows = [
