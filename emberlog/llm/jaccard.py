@@ -11,7 +11,9 @@ Then into ``FRAGMENTS`` wide ones: the overlap of every candidate pair is counte
 itself, and the sum of these partial counts, with the sizes, decides.
 
 Groups do not become pairs. Equal sets are one set from the start. A segment that
-more than ``SMALL`` sets share links each of them to one centre only. Of the members of a centre
+more than ``SMALL`` sets share links each of them to one centre only. A set is a member of its centres
+if such segments, with those it shares in its best listed pair, are as many as any link needs: one with
+fewer, such as a text with a common passage, can have no link there. Of the members of a centre
 the one in most such segments, the least altered copy, is their hub, and each is a candidate pair
 with its hub. Sets still apart after these links are compared with the other sets of the same
 centre, block against block, and only where their components differ; of the links that a block
@@ -32,12 +34,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
 from emberlog.llm.words import SPACED, chunks, grouped, mix, slot, windows
-from emberlog.sources.scratch import staged
+from emberlog.sources.scratch import passing, staged
 
 SMALL = 8  # sets of a segment that are compared pair by pair
 FRAGMENTS = 4  # in which the overlap of a pair is counted
@@ -115,17 +117,17 @@ def _joined(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> tuple[Da
     sets = rows.mapInArrow(partial(_sets, rule), "doc_id long, n_shingles long, sid long")
     sets = staged(sets.withColumn("sid", F.when(F.col("doc_id").isNotNull(), F.col("sid"))), "sets")
     segments = rows.filter("doc_id is not null").select("text").mapInArrow(partial(_segments, rule, ranges), "range int, sets binary, segments binary")
-    found = staged(segments.groupBy("range").applyInArrow(grouped(_shared), "a long, b long, level int, n_a int, n_b int, none int, equal int, many boolean"), "shared")
-    star = found.filter("many").groupBy(F.col("a").alias("centre"), F.col("b").alias("sid"), "level").agg(F.sum("equal").alias("segments"))
-    star = staged(star, "stars")
+    found = staged(segments.groupBy("range").applyInArrow(grouped(_shared), "a long, b long, level int, n_a int, n_b int, none int, own int, equal int, hot int"), "shared")
+    star = staged(_members(found, rule), "stars")
     pairs = staged(_enough(found, rule).union(_hub_pairs(star)).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(star.select("centre")).union(star.select("sid")).distinct()
+    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(star.select("sid")).distinct()
     reps = sets.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id")).join(wanted, "sid")
-    hashes = staged(rows.join(reps, "doc_id").select("sid", "text").mapInArrow(partial(_hash_sets, rule), "sid long, hashes binary").dropDuplicates(["sid"]), "hashes")
-    first = staged(_compared(pairs, hashes, rule), "links")
-    rest = _rest(star, first, hashes, rule)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return sets, first.union(staged(rest, "links"))
+    hashes = rows.join(reps, "doc_id").select("sid", "text").mapInArrow(partial(_hash_sets, rule), "sid long, hashes binary").dropDuplicates(["sid"])
+    with passing(hashes, "hashes") as hashes:
+        first = staged(_compared(pairs, hashes, rule), "links")
+        rest = _rest(star, first, hashes, rule)
+        rest = staged(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    return sets, first.union(rest)
 
 
 def _shingles(rule: Rule, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -242,8 +244,8 @@ def _packed(member: np.ndarray, values: np.ndarray, ranges: int) -> pa.RecordBat
 def _shared(table: pa.Table) -> pa.Table:
     """Pairs of sets with the number of segments they share in this range.
 
-    Of a segment with more than ``SMALL`` sets only the pairs with its centre, the smallest set id,
-    itself included.
+    Of a segment with more than ``SMALL`` sets, a hot one, only the pairs with its centre, the smallest
+    set id, itself included. none: fragments empty in both sets at most; own: those empty in b.
     """
     runs = np.frombuffer(b"".join(table.column("sets").to_pylist()), _MEMBER)
     low = np.frombuffer(b"".join(table.column("segments").to_pylist()), "<u4")
@@ -273,22 +275,45 @@ def _shared(table: pa.Table) -> pa.Table:
     new[1:] = (left["sid"][1:] != left["sid"][:-1]) | (right["sid"][1:] != right["sid"][:-1]) | (left["level"][1:] != left["level"][:-1])
     at = np.flatnonzero(new)
     equal = np.diff(np.append(at, len(left)))
-    any_many = np.logical_or.reduceat(many, at) if len(at) else many
+    hot = np.add.reduceat(many, at, dtype=np.int32) if len(at) else np.zeros(0, np.int32)
     left, right = left[at], right[at]
-    return pa.table([left["sid"], right["sid"], left["level"].astype(np.int32), left["n"], right["n"], np.minimum(left["none"], right["none"]).astype(np.int32), equal.astype(np.int32), any_many], names=["a", "b", "level", "n_a", "n_b", "none", "equal", "many"])
+    return pa.table([left["sid"], right["sid"], left["level"].astype(np.int32), left["n"], right["n"], np.minimum(left["none"], right["none"]).astype(np.int32), right["none"].astype(np.int32), equal.astype(np.int32), hot], names=["a", "b", "level", "n_a", "n_b", "none", "own", "equal", "hot"])
 
 
 def _enough(found: DataFrame, rule: Rule) -> DataFrame:
     """Pairs whose equal segments, summed over the ranges, allow the threshold."""
     summed = found.filter("a <> b").groupBy("a", "b", "level", "n_a", "n_b").agg(F.sum("equal").alias("equal"), F.max("none").alias("none"))
-    upto = rule.edges(1 << 40)
-    counts = F.array(*[F.lit(rule.fragments(k)[1]) for k in range(len(upto) - 1)])
     sizes = F.least("n_a", "n_b").cast("long") * 100 >= F.greatest("n_a", "n_b").cast("long") * rule.percent
     differ = F.floor((F.col("n_a") + F.col("n_b")) * (100 - rule.percent) / (100 + rule.percent))
-    need = F.element_at(counts, F.col("level") + 1) - differ - F.col("none")
+    need = _of_levels(rule, lambda k: rule.fragments(k)[1]) - differ - F.col("none")
     return summed.filter(sizes & (F.col("equal") >= need)).select("a", "b").distinct()
 
 
+def _of_levels(rule: Rule, value) -> Column:
+    """``value`` of the number in the column level."""
+    return F.element_at(F.array(*[F.lit(value(k)) for k in range(len(rule.edges(1 << 40)) - 1)]), F.col("level") + 1)
+
+
+def _members(found: DataFrame, rule: Rule) -> DataFrame:
+    """Centres, their members that can have a link, and the segments shared with the centre.
+
+    A set that shares a hot segment with its partner shares at most all its hot segments and as many others as
+    with its best listed pair. The partner is no larger than the threshold lets it be; of two sets above the
+    level, which meet in their own as well, one counts as the largest of the level.
+    """
+    star = found.filter("hot > 0")
+    own = star.groupBy(F.col("b").alias("sid"), "level").agg(F.sum("hot").alias("hot"), F.max("n_b").cast("long").alias("n"), F.max("own").alias("own"))
+    cold = found.filter("equal > hot").groupBy("a", "b", "level").agg(F.sum(F.col("equal") - F.col("hot")).alias("cold"))
+    best = cold.select(F.col("a").alias("sid"), "level", "cold").union(cold.select("b", "level", "cold")).groupBy("sid", "level").agg(F.max("cold").alias("cold"))
+    largest = _of_levels(rule, lambda k: int(rule.edges(1 << 40)[k + 1]) - 1).cast("long")
+    partner = F.when(F.col("n") > largest, largest).otherwise(F.floor(F.col("n") * 100 / rule.percent))
+    differ = F.floor((F.col("n") + partner) * (100 - rule.percent) / (100 + rule.percent))
+    need = _of_levels(rule, lambda k: rule.fragments(k)[1]) - differ - F.col("own")
+    able = own.join(best, ["sid", "level"], "left").filter(F.col("hot") + F.coalesce("cold", F.lit(0)) >= need).select("sid", "level")
+    shared = star.groupBy(F.col("a").alias("centre"), F.col("b").alias("sid"), "level").agg(F.sum("equal").alias("segments"))
+    return shared.join(able, ["sid", "level"]).select("centre", "sid", "level", "segments")
+
+
 def _hub_pairs(star: DataFrame) -> DataFrame:
     """Each member of a centre with the hub of that centre: the member in most shared segments, ties by id."""
     degrees = star.groupBy("sid").agg(F.sum("segments").alias("degree"))
@@ -301,12 +326,16 @@ def _hub_pairs(star: DataFrame) -> DataFrame:
 def _compared(pairs: DataFrame, hashes: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that pass the threshold: overlaps counted by fragment, summed per pair.
 
-    A fragment that one of the sets has nothing in adds nothing.
+    A fragment that one of the sets has nothing in adds nothing. Both joins deal the parts out by the same columns
+    under the same names, so Spark cuts and sends them once.
     """
-    cut = staged(hashes.mapInArrow(_cut, "sid long, fragment int, n int, part binary"), "fragments")
-    left = pairs.join(cut.select(F.col("sid").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("part").alias("left")), "a")
-    right = cut.select(F.col("sid").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("part").alias("right"))
-    both = left.join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", "left", "right")
+    cut = hashes.mapInArrow(_cut, "sid long, fragment int, n int, part binary")
+    wide = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("at"))
+    one, two = cut.alias("one"), cut.alias("two")
+    left = wide.join(one, (F.col("a") == F.col("one.sid")) & (F.col("at") == F.col("one.fragment")))
+    left = left.select("a", "b", "at", F.col("n").alias("n_a"), F.col("part").alias("left"))
+    both = left.join(two, (F.col("b") == F.col("two.sid")) & (F.col("at") == F.col("two.fragment")))
+    both = both.select("a", "b", "n_a", F.col("n").alias("n_b"), "left", F.col("part").alias("right"))
     partial_counts = both.mapInArrow(_overlaps, "a long, b long, n_a int, n_b int, common long")
     summed = partial_counts.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
     union = F.col("n_a") + F.col("n_b") - F.col("common")
@@ -353,7 +382,7 @@ def _rest(star: DataFrame, found: DataFrame, hashes: DataFrame, rule: Rule) -> D
     members = staged(members.join(main, ["centre", "level"]).withColumn("minor", F.col("part") != F.col("main")), "members")
     minors = members.groupBy("centre", "level").agg(F.sum(F.col("minor").cast("long")).alias("n_minor"))
     members = members.join(minors, ["centre", "level"])
-    block = F.element_at(F.array(*[F.lit(rule.block(k)) for k in range(len(rule.edges(1 << 40)) - 1)]), F.col("level") + 1)
+    block = _of_levels(rule, rule.block)
     along, across = F.ceil(F.col("total") / block).cast("int"), F.ceil(F.col("n_minor") / block).cast("int")
     side = F.pmod(F.xxhash64("sid"), along).cast("int")
     row = members.filter("minor").withColumn("row", F.pmod(F.xxhash64("sid"), across).cast("int"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _LOCAL_DIR = "emberlog.local.scratch.dir"  # set by local sessions only
 
 
@@ -31,10 +34,33 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """Write once, read many times: the plan above restarts from the written table."""
+    """Write once, read many times: the plan above restarts from the written table.
+
+    The shuffle files of the write go with its end instead of with the driver's next collection of garbage.
+    """
+    return _written(df, scratch_dir(df.sparkSession, purpose))
+
+
+@contextmanager
+def passing(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """``staged`` for a table that nothing reads after the block: its files go with the block."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    try:
+        yield _written(df, path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
